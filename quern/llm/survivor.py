@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import salted_lookup
+from quern.functions.dist import cut, salted_lookup
 
 BUNDLES = (("url", "warc_date"), ("lang",))
 DEPENDENCIES = (("url", "lang"),)
@@ -87,9 +87,13 @@ def survivors(
     exists stays null.
     """
     fields = [f for b in bundles for f in b]
+    # ids and short fields only, used several times each: written once, in the shared folder
+    groups = cut(groups)
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("_ids")).where("_ids > 1").select("group_id")
     members = normalised(records, fields).join(groups.select(F.col("node_id").alias("doc_id"), "group_id"), "doc_id").distinct()
+    members = cut(members)
     base = members.groupBy("group_id").agg(F.max(F.struct("ts", "length", "doc_id", *fields)).alias("_b")).join(sizes, "group_id").select("group_id", "_b.*")
+    base = cut(base)
 
     gap = F.array(*[F.array_contains(F.array(*[F.col(f).isNull() for f in b]), True) for b in bundles])
     open_base = base.where(F.array_contains(gap, True)).select("group_id", *[F.col(f).alias(f"_b_{f}") for f in fields])
@@ -109,7 +113,7 @@ def survivors(
         for f in b:
             missing = missing | F.col(f"_b_{f}").isNull()
         whole[f"_w{i}"] = agrees & missing
-    seen = seen.withColumns(whole)
+    seen = cut(seen.withColumns(whole))
     bound = seen.groupBy("group_id").agg(
         F.max(sum((F.when(F.col(f"_w{i}"), F.col("_t")).otherwise(0) for i in range(len(bundles))), F.lit(0))).alias("_single"),
         *[F.coalesce(F.max(F.when(F.col(f"_w{i}"), F.col("_t"))), F.lit(0)).alias(f"_m{i}") for i in range(len(bundles))],
@@ -132,6 +136,7 @@ def survivors(
     for k, (x, y) in enumerate(dependencies):
         kinds.append(F.when(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(f"_b_{x}").isNull(), F.struct(F.lit(-1 - k).alias("bundle"), F.to_json(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).alias("value"))))
     rows = marked.select("group_id", "_t", F.explode(F.filter(F.array(*kinds), lambda x: x.isNotNull())).alias("c")).groupBy("group_id", "c.bundle", "c.value").agg(F.max("_t").alias("trust"))
+    rows = cut(rows)
     # a pair is of use only if its determinant is that of a candidate that is left
     names = {k: i for k, (x, _) in enumerate(dependencies) for i, b in enumerate(bundles) if x in b}
     pairs = rows.where("bundle < 0")
