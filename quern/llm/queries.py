@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 
 from quern.functions.dist import read_table as table
 from quern.llm.components import connected_groups
+from quern.llm.leakage import leak_report, leaks
 from quern.llm.mixing import Mixture
 from quern.llm.packing import pack_items, packed_sequences, packing_report
+from quern.llm.repetition import ablations, fails, ledger
+from quern.llm.spans import passages, shared_share, sharing_documents
 from quern.llm.survivor import survivors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return ledger(table(spark, d, "documents")).where(fails("found")).select("doc_id")
+
+
+def p1_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return ledger(table(spark, d, "documents"))
+
+
+def p1_ablations(spark: SparkSession, d: str) -> DataFrame:
+    return ablations(ledger(table(spark, d, "documents")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return connected_groups(table(spark, d, "dup_edges"))
 
@@ -44,6 +59,14 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_survivors(spark, d).select("group_id", "doc_id")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return leak_report(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).selected
 
@@ -56,5 +79,17 @@ def p9_shares_of_corpus(spark: SparkSession, d: str) -> DataFrame:
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="corpus").shares
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return sharing_documents(table(spark, d, "documents"))
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    return shared_share(table(spark, d, "documents"))
+
+
+def p10_passages(spark: SparkSession, d: str) -> DataFrame:
+    return passages(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p4_found, p4_group_sizes, p5_packed, p5_sequences, p5_report, p7_found, p7_survivors, p9_mixture, p9_shares, p9_shares_of_corpus)}
+    return {k: f for k, f in globals().items() if k.startswith("p") and k[1:2].isdigit()}
