@@ -45,22 +45,24 @@ def salted_lookup(
     small: DataFrame,
     how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
+    counts: str | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` (unique on ``key``) where one key may hold a third of ``big``.
 
     Keys with more than ``rows_per_slice`` rows are counted with a map-side
-    combine; each is split over ``ceil(rows / rows_per_slice)`` salts and only
-    its own row of ``small`` is repeated. There are at most
-    ``count(big) / rows_per_slice`` such keys, which bounds the broadcast list.
-    Null keys never match; with ``how="left"`` their rows stay.
+    combine, unless ``counts`` names a column of ``small`` that has the number of
+    rows already (it is dropped). Each such key is split over
+    ``ceil(rows / rows_per_slice)`` salts and only its own row of ``small`` is
+    repeated. There are at most ``count(big) / rows_per_slice`` such keys, which
+    bounds the broadcast list. Null keys never match; with ``how="left"`` their
+    rows stay.
     """
-    hot = (
-        big.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_slice)
-        .select("_hot", F.ceil(F.col("_n") / rows_per_slice).cast("int").alias("_fan"))
-    )
+    if counts:
+        many = small.select(F.col(key).alias("_hot"), F.col(counts).alias("_n"))
+        small = small.drop(counts)
+    else:
+        many = big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = many.where(F.col("_n") > rows_per_slice).select("_hot", F.ceil(F.col("_n") / rows_per_slice).cast("int").alias("_fan"))
     row = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
     left = (
         big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
