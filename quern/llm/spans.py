@@ -89,21 +89,21 @@ def _star(hits: DataFrame, key: str) -> DataFrame:
     Keys of one document only are dropped. Of several hits of the centre the first
     counts; the other hits of the centre itself are dropped.
     """
-    heads = hits.groupBy(key).agg(F.min(F.struct(F.col("doc_id").alias("centre"), F.col("start").alias("centre_pos"))).alias("_h"), F.max("doc_id").alias("_last")).where("_h.centre <> _last").select(key, "_h.centre", "_h.centre_pos")
-    return salted_lookup(hits, key, heads, "inner").where("doc_id <> centre").select("doc_id", "centre", F.col("start").alias("pos"), "centre_pos", "n")
+    heads = hits.groupBy(key).agg(F.min(F.struct(F.col("doc_id").alias("centre"), F.col("start").alias("centre_pos"))).alias("_h"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("_rows")).where("_h.centre <> _last").select(key, "_h.centre", "_h.centre_pos", "_rows")
+    return salted_lookup(hits, key, heads, "inner", counts="_rows").where("doc_id <> centre").select("doc_id", "centre", F.col("start").alias("pos"), "centre_pos", "n")
 
 
 def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """(doc_id, centre, pos, centre_pos, n): verbatim matches of at least ``span`` characters."""
     found = seeds(documents, span, k)
-    shared = found.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("seed")
+    shared = found.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("_rows")).where("a <> b").select("seed", "_rows")
     # the texts are scanned again rather than kept: a scan is cheaper than all seeds on disk
-    hits = cut(salted_lookup(seeds(documents, span, k), "seed", shared, "inner"))
+    hits = cut(salted_lookup(seeds(documents, span, k), "seed", shared, "inner", counts="_rows"))
     same = _star(hits.select("context", "doc_id", F.col("lo").alias("start"), (F.col("hi") - F.col("lo") + span).alias("n")), "context")
 
     classes = hits.groupBy("seed", "context").agg(F.min(F.struct("doc_id", "lo", "hi")).alias("_m"))
-    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("seed")
-    members = salted_lookup(classes, "seed", several, "inner").select("_m.*").distinct()
+    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("seed", "_n")
+    members = salted_lookup(classes, "seed", several, "inner", counts="_n").select("_m.*").distinct()
     wanted = members.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
     # at most one run per position of a text: an array never outgrows its document
     sources = documents.select("doc_id", "text").where(F.length("text") >= span).join(wanted, "doc_id")
