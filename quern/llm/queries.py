@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.dist import read_table as table
+from quern.llm import langid, personal, prose
 from quern.llm.components import connected_groups
 from quern.llm.leakage import leak_report, leaks
 from quern.llm.mixing import Mixture
@@ -31,6 +32,24 @@ def p1_ablations(spark: SparkSession, d: str) -> DataFrame:
     return ablations(ledger(table(spark, d, "documents")))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    model = personal.train(table(spark, d, "given_names"), table(spark, d, "lang_samples"))
+    return personal.items(table(spark, d, "documents"), model).select("doc_id", "kind", "line_no").distinct()
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    model = personal.train(table(spark, d, "given_names"), table(spark, d, "lang_samples"))
+    return personal.redact(table(spark, d, "documents"), model)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return prose.not_prose(p3_statistics(spark, d)).select("doc_id")
+
+
+def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return prose.statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return connected_groups(table(spark, d, "dup_edges"))
 
@@ -51,6 +70,20 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return packing_report(pack_items(table(spark, d, "token_samples")))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.mislabelled(p6_languages(spark, d))
+
+
+def p6_languages(spark: SparkSession, d: str) -> DataFrame:
+    model = langid.train(table(spark, d, "lang_samples"), table(spark, d, "common_words"))
+    return langid.languages(table(spark, d, "documents"), model)
+
+
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    model = langid.train(table(spark, d, "lang_samples"), table(spark, d, "common_words"))
+    return langid.segments(table(spark, d, "documents"), model)
+
+
 def p7_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors(table(spark, d, "minhash_docs"), connected_groups(table(spark, d, "dup_edges")))
 
