@@ -12,9 +12,10 @@ positions are seeds.
 2. A seed stands for all runs of which it is the least window: one stretch, its
    context. Records with equal contexts form a class; each is joined to the
    class's first document, a star instead of all pairs. Where one seed has
-   several contexts, each class sends one member's runs, as hashes of SPAN
-   characters, to find those that reach from class to class: a star again. Any
-   two records with a common run are thus linked, directly or through a centre.
+   several contexts, one member of each class is compared with those of the
+   others by extending the seed to both sides; where it has very many, the
+   members' runs are matched as hashes of SPAN characters, a star again. Any two
+   records with a common run are thus linked, directly or through a centre.
 3. The matches of a document with one centre are chained: those in order in both
    texts are joined under a cost for the gap between them, by dynamic programming
    over a Fenwick tree. Verbatim matches that overlap on one diagonal give the
@@ -40,6 +41,9 @@ K = 100
 GAP_COST = 0.5
 WIDEST_GAP = 400
 
+#: Contexts of one seed that are compared with each other; of more, their runs are matched by hash.
+MOST_PAIRED = 32
+
 _BITS = 22  # positions within one chunk of texts
 
 
@@ -90,40 +94,84 @@ def _star(hits: DataFrame, key: str) -> DataFrame:
     counts; the other hits of the centre itself are dropped.
     """
     heads = hits.groupBy(key).agg(F.min(F.struct(F.col("doc_id").alias("centre"), F.col("start").alias("centre_pos"))).alias("_h"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("_rows")).where("_h.centre <> _last").select(key, "_h.centre", "_h.centre_pos", "_rows")
-    return salted_lookup(hits, key, heads, "inner", counts="_rows").where("doc_id <> centre").select("doc_id", "centre", F.col("start").alias("pos"), "centre_pos", "n")
+    return salted_lookup(hits, key, cut(heads), "inner", counts="_rows").where("doc_id <> centre").select("doc_id", "centre", F.col("start").alias("pos"), "centre_pos", "n")
 
 
 def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """(doc_id, centre, pos, centre_pos, n): verbatim matches of at least ``span`` characters."""
-    found = seeds(documents, span, k)
-    shared = found.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("_rows")).where("a <> b").select("seed", "_rows")
+    shared = seeds(documents, span, k).groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("_rows")).where("a <> b").select("seed", "_rows")
     # the texts are scanned again rather than kept: a scan is cheaper than all seeds on disk
-    hits = cut(salted_lookup(seeds(documents, span, k), "seed", shared, "inner", counts="_rows"))
+    hits = cut(salted_lookup(seeds(documents, span, k), "seed", cut(shared), "inner", counts="_rows"))
     same = _star(hits.select("context", "doc_id", F.col("lo").alias("start"), (F.col("hi") - F.col("lo") + span).alias("n")), "context")
 
-    classes = hits.groupBy("seed", "context").agg(F.min(F.struct("doc_id", "lo", "hi")).alias("_m"))
-    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("seed", "_n")
-    members = salted_lookup(classes, "seed", several, "inner", counts="_n").select("_m.*").distinct()
-    wanted = members.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
-    # at most one run per position of a text: an array never outgrows its document
+    classes = cut(hits.groupBy("seed", "context").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("_m")))
+    several = cut(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("seed", "_n", F.col("_n").alias("classes")))
+    members = salted_lookup(classes, "seed", several, "inner", counts="_n").select("seed", "classes", "_m.*")
+    # at most one seed per position of a text: an array never outgrows its document
+    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("seed", "classes", "pos", "lo", "hi")).alias("places"))
     sources = documents.select("doc_id", "text").where(F.length("text") >= span).join(wanted, "doc_id")
 
+    def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc_id, text, places in zip(b["doc_id"].tolist(), b["text"], b["places"]):
+                for r in places:
+                    # a repeated doc_id may bring another text: places beyond its end do not exist
+                    if r["hi"] + span <= len(text):
+                        out.append((r["seed"], r["classes"], doc_id, r["pos"], r["lo"], text[r["lo"] : r["hi"] + span]))
+            yield pd.DataFrame(out, columns=["seed", "classes", "doc_id", "pos", "lo", "piece"])
+
+    pieces = cut(sources.mapInPandas(cut_out, "seed long, classes long, doc_id long, pos long, lo long, piece string"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, group, out = None, [], []
+
+        def close() -> None:
+            for i, (d, p, lo, piece) in enumerate(group):
+                for e, q, lo2, other in group[:i]:
+                    if d == e or piece[p - lo : p - lo + k] != other[q - lo2 : q - lo2 + k]:
+                        continue
+                    left = _common(piece[: p - lo][::-1], other[: q - lo2][::-1])
+                    n = left + k + _common(piece[p - lo + k :], other[q - lo2 + k :])
+                    if n >= span:
+                        out.append((max(d, e), min(d, e), *((p - left, q - left) if d > e else (q - left, p - left)), n))
+
+        for b in batches:
+            for seed, *row in zip(*(b[c].tolist() for c in ("seed", "doc_id", "pos", "lo", "piece"))):
+                if seed != key:
+                    close()
+                    key, group = seed, []
+                group.append(row)
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "centre", "pos", "centre_pos", "n"])
+                out.clear()
+        close()
+        if out:
+            yield pd.DataFrame(out, columns=["doc_id", "centre", "pos", "centre_pos", "n"])
+
+    few = pieces.where(F.col("classes") <= MOST_PAIRED).repartition("seed").sortWithinPartitions("seed")
+    paired = few.mapInPandas(compare, "doc_id long, centre long, pos long, centre_pos long, n long")
+
     def hash_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = {"run": [], "doc_id": [], "start": []}
-            for doc_id, text, runs in zip(b["doc_id"], b["text"], b["runs"]):
-                codes, _ = code_points([text])
-                # a repeated doc_id may bring another text: runs beyond its end do not exist
-                at = np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in runs]))
-                at = at[at + span <= len(codes)]
-                out["run"].append(span_hashes(prefix_hashes(codes), at, at + span).view(np.int64))
-                out["doc_id"].append(np.full(len(at), doc_id, np.int64))
-                out["start"].append(at)
-            if out["run"]:
-                yield pd.DataFrame({c: np.concatenate(v) for c, v in out.items()})
-
-    runs = sources.mapInPandas(hash_runs, "run long, doc_id long, start long").withColumn("n", F.lit(span).cast("long"))
-    return same.unionByName(_star(runs, "run"))
+            for doc_id, lo, piece in zip(b["doc_id"].tolist(), b["lo"].tolist(), b["piece"]):
+                codes, _ = code_points([piece])
+                at = np.arange(len(codes) - span + 1)
+                yield pd.DataFrame({"run": span_hashes(prefix_hashes(codes), at, at + span).view(np.int64), "doc_id": doc_id, "start": lo + at})
+
+    many = pieces.where(F.col("classes") > MOST_PAIRED).select("doc_id", "lo", "piece").distinct()
+    runs = many.mapInPandas(hash_runs, "run long, doc_id long, start long").withColumn("n", F.lit(span).cast("long"))
+    return same.unionByName(paired).unionByName(_star(runs, "run"))
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 class Fenwick:

@@ -47,8 +47,9 @@ def brute(docs, span):
     return {d for s in where.values() if len(s) > 1 for d in s}, where
 
 
-@pytest.mark.parametrize("k", [20, 31])
-def test_same_as_brute_force(spark, k):
+@pytest.mark.parametrize(("k", "most"), [(20, 32), (31, 32), (20, 3), (20, 0)])
+def test_same_as_brute_force(spark, k, most, monkeypatch):
+    monkeypatch.setattr("quern.llm.spans.MOST_PAIRED", most)
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumnRenamed("x", "y")
     want, where = brute(docs, 40)
