@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -144,25 +145,43 @@ class QualityFilter:
     pos_label: str
     threshold: float = 0.5
     features: int = 1 << 16
-    max_rows: int = 200_000
+    max_rows: int = 50_000
+    rounds: int = 150
 
-    def fit(self, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> QualityFilter:
-        """Fit on at most ``max_rows`` labelled rows; the positive label must occur."""
-        from pyspark.ml import Pipeline
-        from pyspark.ml.classification import LogisticRegression
-        from pyspark.ml.feature import HashingTF, RegexTokenizer
+    def _rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket of every distinct word, text it is in)."""
+        words = [sorted(set(t.lower().split())) for t in texts]
+        at = np.array([crc32(w.encode()) % self.features for ws in words for w in ws], np.int64)
+        return at, np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
 
-        rows = labelled.select(flatten_space(F.col(text_col)).alias("_text"), (F.col(label_col).cast("string") == self.pos_label).cast("double").alias("_label")).where("_label is not null").limit(self.max_rows)
-        if not rows.where("_label = 1").limit(1).count():
+    def fit(self, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> QualityFilter:
+        """Logistic regression on at most ``max_rows`` labelled rows; the positive label must occur."""
+        rows = labelled.select(flatten_space(F.col(text_col)).alias("t"), (F.col(label_col).cast("string") == self.pos_label).alias("y")).where("y is not null and t <> ''").limit(self.max_rows).toPandas()
+        y = rows["y"].to_numpy(dtype=float)
+        if not y.any():
             raise ValueError(f"label {self.pos_label!r} does not occur")
-        stages = [RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\s+", minTokenLength=1), HashingTF(inputCol="_words", outputCol="_tf", numFeatures=self.features), LogisticRegression(featuresCol="_tf", labelCol="_label", regParam=0.01, maxIter=30)]
-        self._model = Pipeline(stages=stages).fit(rows)
+        at, owner = self._rows(rows["t"].tolist())
+        share = 1 / np.sqrt(np.maximum(1, np.bincount(owner, minlength=len(y))))[owner]
+        w, g2, bias = np.zeros(self.features), np.zeros(self.features), 0.0
+        for _ in range(self.rounds):
+            p = 1 / (1 + np.exp(-(np.bincount(owner, w[at] * share, len(y)) + bias)))
+            g = np.bincount(at, (p - y)[owner] * share, self.features) + 1e-3 * w
+            g2 += g * g
+            w -= 0.5 * g / np.sqrt(g2 + 1e-9)
+            bias -= float((p - y).mean())
+        self._weights, self._bias = w.astype(np.float32), bias
         return self
 
     def score(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
+        """Add quality_score and quality_pass."""
+
+        @F.pandas_udf("double")
+        def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                at, owner = self._rows(texts.tolist())
+                n = np.bincount(owner, minlength=len(texts))
+                z = np.bincount(owner, self._weights[at], len(texts)) / np.sqrt(np.maximum(1, n)) + self._bias
+                yield pd.Series(np.where(n > 0, 1 / (1 + np.exp(-z)), 0.0))
 
-        prepared = df.withColumn("_text", flatten_space(F.col(text_col)))
-        out = self._model.transform(prepared)
-        p = F.when(F.col("_text") == "", 0.0).otherwise(vector_to_array("probability")[1])
-        return out.withColumn("quality_score", p).withColumn("quality_pass", F.col("quality_score") >= self.threshold).select(*df.columns, "quality_score", "quality_pass")
+        out = df.withColumn("quality_score", judge(flatten_space(F.col(text_col))))
+        return out.withColumn("quality_pass", F.col("quality_score") >= self.threshold)
