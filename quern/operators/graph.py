@@ -26,7 +26,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     number of nodes with edges at least halves, so rounds are logarithmic. Rows
     with an empty end are dropped, an edge to itself makes a component of one.
     """
-    rows = cut(edges.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).where(F.col(u).isNotNull() & F.col(v).isNotNull()).distinct())
+    filled = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull())  # least() would skip a null
+    rows = cut(filled.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct())
     nodes = rows.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     labels = None
     left = rows.where("u <> v")

@@ -10,7 +10,7 @@ from quern.operators.graph import components
 
 def test_components(spark):
     rng = random.Random(1)
-    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(500, i) for i in range(501, 560)] + [(i, i + 1) for i in range(700, 760)] + [(None, 3), (4, None), (900, 900)]
+    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(500, i) for i in range(501, 560)] + [(i, i + 1) for i in range(700, 760)] + [(None, 3), (4, None), (900, 900), (901, None), (None, 902)]
     up = {}
 
     def root(x):
