@@ -39,6 +39,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a part of a scan that has fewer splits than there are cores.
+
+    A small file with one row group is one split, which leaves a costly map stage
+    to one core. Larger inputs have more splits than cores and are not shuffled.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def salted_lookup(
     big: DataFrame,
     key: str,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.functions.text import CJK_CHARS, WORD_CHARS, WS_CHARS, count_in, normalise, ratio, strip
 
 REASONS = ("too_short", "too_long", "too_sparse", "low_language_signal", "too_much_punct", "dup_lines", "ok")
@@ -52,7 +53,7 @@ def score_clean(df: DataFrame, rules: CleanRules | None = None, text_col: str =
     """
     r = rules or CleanRules()
     rest = [c for c in df.columns if c not in ("kept", "drop_reason", *METRICS, text_col)]
-    out = df.select(*rest, normalise(F.col(text_col)).alias(text_col))
+    out = spread(df).select(*rest, normalise(F.col(text_col)).alias(text_col))
     t = F.col(text_col)
     n = F.length(t)
     out = out.withColumns(

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.functions.text import fold
 
 K, NGRAM, SEED = 128, 5, 42
@@ -72,4 +73,4 @@ def signatures(k: int = K, n: int = NGRAM, seed: int = SEED):
 def with_signatures(df: DataFrame, text_col: str = "text", k: int = K, n: int = NGRAM, seed: int = SEED) -> DataFrame:
     """Add ``signature`` and ``length`` (code points of the text; null counts as empty)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.withColumns({"signature": signatures(k, n, seed)(fold(F.col(text_col))), "length": F.length(text)})
+    return spread(df).withColumns({"signature": signatures(k, n, seed)(fold(F.col(text_col))), "length": F.length(text)})

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.functions.text import BOUNDARY, RE2_SPACE
 
 # The patterns of the structured kinds, in their order of replacement.
@@ -88,7 +89,7 @@ def redact(
     gate = F.coalesce(src.contains("@"), F.lit(False)) | F.coalesce(src.rlike(jvm(CONTACT)), F.lit(False)) | F.coalesce(src.rlike(jvm(NAME_SHAPE)), F.lit(False))
     for c in found.values():
         gate = gate | c
-    out = df.select(*[c for c in df.columns if c not in (*FLAGS, "need_ner", "ner_lang", text_col)], redacted(src).alias(text_col), *[c.alias(k) for k, c in found.items()], gate.alias("need_ner"))
+    out = spread(df).select(*[c for c in df.columns if c not in (*FLAGS, "need_ner", "ner_lang", text_col)], redacted(src).alias(text_col), *[c.alias(k) for k, c in found.items()], gate.alias("need_ner"))
     out = out.withColumn("ner_lang", ner_language(F.col(text_col), F.col(lang_col) if lang_col and lang_col in df.columns else None))
     if names is not None:
 

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.functions.text import flatten_space
 
 PREFIX = "__label__"
@@ -119,7 +120,7 @@ class LanguageFilter:
         """Add quality_keep, lang and lang_score; columns of these names are replaced, also on empty input."""
         if self.model is None:
             raise RuntimeError("no language model given")
-        base = df.drop(*ADDED).withColumn("_id", self.predict(F.col(text_col)))
+        base = spread(df.drop(*ADDED)).withColumn("_id", self.predict(F.col(text_col)))
         out = base.select(*df.drop(*ADDED).columns, F.col("_id.lang").alias("lang"), F.col("_id.lang_score").alias("lang_score"))
         return out.select(*df.drop(*ADDED).columns, self.keep(F.col("lang"), F.col("lang_score")).alias("quality_keep"), "lang", "lang_score")
 

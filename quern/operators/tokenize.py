@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.functions.text import strip
 
 # The training defaults.
@@ -108,7 +109,7 @@ def byte_encoder():
 
 def tokenised(df: DataFrame, encoder, text_col: str = "text") -> DataFrame:
     """Add ``input_ids`` and ``length``, the number of tokens."""
-    out = df.withColumn("input_ids", encoder(F.col(text_col)))
+    out = spread(df).withColumn("input_ids", encoder(F.col(text_col)))
     return out.withColumn("length", F.size("input_ids"))
 
 

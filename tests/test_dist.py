@@ -16,3 +16,12 @@ def test_lookup_with_given_counts_and_null_keys(spark):
 def test_empty_lookup(spark):
     big, small = spark.createDataFrame([], "id long, k long"), spark.createDataFrame([], "k long, w long")
     assert salted_lookup(big, "k", small).count() == 0
+
+
+def test_spread(spark):
+    from quern.functions.dist import spread
+
+    few = spark.range(100).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(few).count() == 100
+    many = spark.range(0, 100, 1, 9)
+    assert spread(many) is many
