@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.llm.crf import CRF
 from quern.llm.langlabels import LANGUAGES, language_of
 
@@ -235,7 +236,7 @@ def languages(documents: DataFrame, model: CRF, share: float = SHARE) -> DataFra
                 yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy()[d], "lang_label": own["label"].to_numpy()[d], "lang_found": np.array(LABELS, object)[k], "share": letters[d, k] / total[d, 0], "confidence": sure[d, k] / letters[d, k]})
 
     sources = documents.select("doc_id", "text", language_of(F.col("lang")).alias("label")).where(F.length("text") > 0)
-    return sources.mapInPandas(scan, f"doc_id {kind}, lang_label string, lang_found string, share double, confidence double")
+    return spread(sources).mapInPandas(scan, f"doc_id {kind}, lang_label string, lang_found string, share double, confidence double")
 
 
 def segments(documents: DataFrame, model: CRF) -> DataFrame:
@@ -274,7 +275,7 @@ def segments(documents: DataFrame, model: CRF) -> DataFrame:
                     out += [(doc_id, k, a, e, LABELS[y], c / n) for k, (a, e, y, c, n) in enumerate(rows)]
                 yield pd.DataFrame(out, columns=["doc_id", "segment_no", "start", "end", "lang", "confidence"])
 
-    return documents.select("doc_id", "text").where(F.length("text") > 0).mapInPandas(scan, f"doc_id {kind}, segment_no long, start long, end long, lang string, confidence double")
+    return spread(documents.select("doc_id", "text").where(F.length("text") > 0)).mapInPandas(scan, f"doc_id {kind}, segment_no long, start long, end long, lang string, confidence double")
 
 
 def mislabelled(found: DataFrame) -> DataFrame:

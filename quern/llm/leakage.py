@@ -33,6 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.llm.batches import scramble
 
 SHARE = 0.6
@@ -201,7 +202,7 @@ def leaks(documents: DataFrame, items: DataFrame, block: int = ITEMS_PER_BLOCK)
     table on either side gives no rows. Other columns are ignored.
     """
     spark = documents.sparkSession
-    corpus = documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    corpus = spread(documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") > 0)))
     schema = f"doc_id {dict(documents.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}"
     rows = items.select("item_id", "question").where(F.col("item_id").isNotNull())
     out = spark.createDataFrame([], schema)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.dist import cut
+from quern.functions.dist import cut, spread
 from quern.llm.langlabels import language_of
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -111,7 +111,8 @@ class Mixture:
 
     def __init__(self, documents: DataFrame, targets: DataFrame, total: int | str | None = None, seed: int = 7, tokenizer: str = TOKENIZER):
         spark = documents.sparkSession
-        docs = documents.select("doc_id", source_key(F.col("source")).alias("source_key"), language_of(F.col("lang")).alias("language"), token_counts(tokenizer)("text").alias("n_tokens"))
+        docs = spread(documents.select("doc_id", source_key(F.col("source")).alias("source_key"), language_of(F.col("lang")).alias("language"), "text"))
+        docs = docs.select("doc_id", "source_key", "language", token_counts(tokenizer)("text").alias("n_tokens"))
         docs = cut(docs.where("source_key is not null"))  # ids and numbers only; texts are tokenised once
         weight = F.when(F.isnan("weight") | (F.col("weight") < 0), 0.0).otherwise(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)))
         wanted = targets.select(source_key(F.col("source")).alias("source_key"), weight.alias("weight"), F.coalesce(F.col("max_repeats"), F.lit(1)).alias("max_repeats")).where("source_key is not null").groupBy("source_key").agg(F.sum("weight").alias("weight"), F.greatest(F.max("max_repeats"), F.lit(0)).alias("max_repeats"))

@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
+
 #: common_words is a fixed lexicon; a larger one than this is an error.
 MAX_COMMON = 100_000
 
@@ -216,7 +218,7 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
 
     types = {"n_words": "long", "lines": "long"}
     schema = ", ".join([f"doc_id {kind}", *[f"{m} {types.get(m, 'double')}" for m in MEASURES], *[f"{c} double" for c in stored]])
-    return documents.select("doc_id", "text", *[F.col(c).cast("double").alias(c) for c in stored]).mapInPandas(scan, schema)
+    return spread(documents.select("doc_id", "text", *[F.col(c).cast("double").alias(c) for c in stored])).mapInPandas(scan, schema)
 
 
 def not_prose(stats: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.dist import spread
 from quern.llm.batches import chunks, code_points, prefix_hashes, scramble, span_hashes, window_hashes
 
 STRETCH = 30
@@ -192,7 +193,7 @@ def ledger(documents: DataFrame) -> DataFrame:
 
     stored = F.col("m_dup_line").cast("double")
     stored = F.when(stored.isNull() | F.isnan(stored), 0.0).otherwise(stored)
-    measured = documents.select("doc_id", "text", stored.alias("stored")).mapInPandas(scan, ", ".join([f"doc_id {kind}", *[f"{m} double" for m in (*own, "stored_dup_lines")]]))
+    measured = spread(documents.select("doc_id", "text", stored.alias("stored"))).mapInPandas(scan, ", ".join([f"doc_id {kind}", *[f"{m} double" for m in (*own, "stored_dup_lines")]]))
     bits = sum((F.when(F.col(m) >= least - 1e-12, F.lit(1 << i)).otherwise(F.lit(0)) for i, (m, least) in enumerate(RULES)), F.lit(0))
     return measured.withColumn("failed", bits.cast("long"))
 

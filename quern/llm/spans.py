@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import cut, salted_lookup
+from quern.functions.dist import cut, salted_lookup, spread
 from quern.llm.batches import chunks, code_points, prefix_hashes, sliding_min, span_hashes, window_hashes
 
 SPAN = 200
@@ -84,7 +84,7 @@ def seeds(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
                 yield _seeds_of(ids[i:j], texts[i:j], span, k)
 
     long_enough = documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") >= span))
-    return long_enough.mapInPandas(scan, "seed long, context long, doc_id long, pos long, lo long, hi long")
+    return spread(long_enough).mapInPandas(scan, "seed long, context long, doc_id long, pos long, lo long, hi long")
 
 
 def _star(hits: DataFrame, key: str) -> DataFrame:
