@@ -43,9 +43,10 @@ def spread(scan: DataFrame) -> DataFrame:
     """Give every core a part of a scan that has fewer splits than there are cores.
 
     A small file with one row group is one split, which leaves a costly map stage
-    to one core. Larger inputs have more splits than cores and are not shuffled.
+    to one core. Larger inputs have more splits than cores and are not shuffled;
+    neither is anything but a plain scan, whose splits are known without running it.
     """
-    if scan.isStreaming:
+    if scan.isStreaming or "Exchange" in scan._jdf.queryExecution().executedPlan().toString():
         return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

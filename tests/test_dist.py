@@ -25,3 +25,5 @@ def test_spread(spark):
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(few).count() == 100
     many = spark.range(0, 100, 1, 9)
     assert spread(many) is many
+    grouped = many.groupBy((many.id % 7).alias("k")).count().coalesce(1)
+    assert spread(grouped) is grouped
