@@ -90,8 +90,9 @@ def survivors(
     # ids and short fields only, used several times each: written once, in the shared folder
     groups = cut(groups)
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("_ids")).where("_ids > 1").select("group_id")
-    members = normalised(records, fields).join(groups.select(F.col("node_id").alias("doc_id"), "group_id"), "doc_id").distinct()
-    members = cut(members)
+    # equal records fold map-side; an id that is left with very many versions is split
+    distinct = normalised(records, fields).where("doc_id is not null").distinct()
+    members = cut(salted_lookup(distinct, "doc_id", groups.select(F.col("node_id").alias("doc_id"), "group_id"), "inner"))
     base = members.groupBy("group_id").agg(F.max(F.struct("ts", "length", "doc_id", *fields)).alias("_b")).join(sizes, "group_id").select("group_id", "_b.*")
     base = cut(base)
 
