@@ -10,11 +10,11 @@ ratios of words, common words, symbols and punctuation.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,20 +23,20 @@ from quern.functions.dist import spread
 #: common_words is a fixed lexicon; a larger one than this is an error.
 MAX_COMMON = 100_000
 
-_WORD = regex.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_HAN = regex.compile(r"[㐀-鿿豈-﫿]")
-_WHITE = regex.compile(r"\s+")
-_GAP = regex.compile(r"(?<=\S)(?: {2,}|\t+)(?=\S)")
-_MARKER = regex.compile(r"\s*(?:[-*•·+>#]+\s|\(?\d{1,4}[.):]\s|\(?[a-zA-Z][.)]\s|\[\d+\])")
-_NUMBER_FIRST = regex.compile(r"\s*[\d$€¥£(%+\-.,:/]*\d")
-_END = regex.compile(r"""[.!?…。！？;:]["'”’»)\]]*\s*$""")
-_INNER_END = regex.compile(r"[.!?]\s+\p{L}|[。！？]\s*\p{L}")
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_HAN = re.compile(r"[㐀-鿿豈-﫿]")
+_GAP = re.compile(r"(?<=\S)(?: {2,}|\t+)(?=\S)")
+_MARKER = re.compile(r"\s*(?:[-*•·+>#]+\s|\(?\d{1,4}[.):]\s|\(?[a-zA-Z][.)]\s|\[\d+\])")
+_NUMBER_FIRST = re.compile(r"\s*[\d$€¥£(%+\-.,:/]*\d")
+_END = re.compile(r"""[.!?…。！？;:]["'”’»)\]]*\s*$""")
+_INNER_END = re.compile(r"[.!?]\s+[^\W\d_]|[。！？]\s*[^\W\d_]")
 _VOWELS = frozenset("aeiouyáàâãäåéèêëíìîïóòôõöøúùûüæœ")
-_PUNCT = regex.compile(r"\p{P}|\p{S}")
+_MARKS = re.compile(r"(?:[^\w\s]|_)+")
+_DIGITS = re.compile(r"\d+")
 _DELIMITERS = "|;\t,:="
 _HAN_CLAUSE = frozenset("了着是也都就认但所因，？！")
-_CELL = regex.compile(r" {2,}|\t+|\s[>|•·/–—-]\s|[|;]")
-_CODE = regex.compile(r"[{}<>]|=>|==|\w\(|\);|</|&\w+;|::|\\[nt]")
+_CELL = re.compile(r" {2,}|\t+|\s[>|•·/–—-]\s|[|;]")
+_CODE = re.compile(r"[{}<>]|=>|==|\w\(|\);|</|&\w+;|::|\\[nt]")
 
 MEASURES = (
     "n_words", "mean_word_length", "common_word_share", "symbol_ratio", "digit_ratio", "lines", "lines_ending_in_punct",
@@ -71,15 +71,15 @@ class Line:
 
     def __init__(self, text: str, common: frozenset[str]):
         self.text = text
-        self.size = len(_WHITE.sub("", text))
+        self.size = sum(map(len, text.split()))
         ws = _WORD.findall(text.casefold())
         self.words = ws
-        self.common = sum(w in common for w in ws)
+        self.common = sum(map(common.__contains__, ws))
         self.letters = sum(map(len, ws))
         self.han = len(_HAN.findall(text)) if not text.isascii() else 0
-        self.counts = tuple(text.count(c) for c in _DELIMITERS)
+        self.counts = tuple(map(text.count, _DELIMITERS))
         body = text.strip()
-        self.gaps = tuple(m.end() for m in _GAP.finditer(body))
+        self.gaps = tuple(m.end() for m in _GAP.finditer(body)) if "  " in body or "\t" in body else ()
         self.marker = bool(_MARKER.match(text))
         self.number_first = bool(_NUMBER_FIRST.match(text))
         self.ends = bool(_END.search(text))
@@ -183,8 +183,8 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
         words,
         sum(x.letters for x in lines) / max(1, words),
         sum(x.common for x in lines) / max(1, words),
-        len(_PUNCT.findall(text)) / max(1, size),
-        sum(c.isdigit() for c in text) / max(1, size),
+        sum(map(len, _MARKS.findall(text))) / max(1, size),
+        sum(map(len, _DIGITS.findall(text))) / max(1, size),
         n,
         sum(x.ends for x in lines) / max(1, n),
         sum(table) / max(1, n),
