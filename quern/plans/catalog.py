@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.dist import ensure_checkpoint_dir
 from quern.functions.dist import read_table as table
 from quern.functions.text import document_id, flatten_space, fold, normalise, strip, unsigned_text
 from quern.operators import clean, dedup, minhash, pack, pii, quality, tokenize
 from quern.operators.graph import components
+from quern.sources import wet
 from quern.sources.tables import token_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +112,26 @@ def ingest_documents(spark: SparkSession, d: str) -> DataFrame:
     return pages.select("doc_id", "source_path", new_id.alias("new_id"), F.length(F.substring("text", 1, 200_000)).cast("long").alias("n_chars"))
 
 
+@query(f"SELECT {_sql_strip("regexp_replace(coalesce(url, ''), '[\\r\\n]+', ' ', 'g')")} AS url, {_sql_strip("regexp_replace(coalesce(warc_date, ''), '[\\r\\n]+', ' ', 'g')")} AS warc_date, sha1({_sql_normalise('text')}[1:200000]) AS text_sha1 FROM ingest_pages WHERE length({_sql_normalise('text')}) >= 200")
+def wet_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Pages written as web-archive files by the executors and read back."""
+    ensure_checkpoint_dir(spark)
+    root = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:").replace("///", "/").rstrip("/") + f"/wet-{uuid.uuid4().hex}"
+
+    def emit(batches):
+        os.makedirs(root, exist_ok=True)
+        for b in batches:
+            one = lambda x: re.sub("[\r\n]+", " ", x or "")
+            path = f"{root}/{uuid.uuid4().hex}.wet.gz"
+            wet.write_wet([("conversion", one(u), one(w), t or "") for u, w, t in zip(b["url"], b["warc_date"], b["text"])], path)
+            yield pd.DataFrame({"path": [path]})
+
+    # the list of files is what a task reports when it is done: leftovers of failed tasks are not read
+    written = table(spark, d, "ingest_pages").select("url", "warc_date", "text").mapInPandas(emit, "path string")
+    paths = sorted(r["path"] for r in written.collect())
+    return wet.read_wet(spark, paths).select("url", "warc_date", F.sha1("text").alias("text_sha1"))
+
+
 @query(f"SELECT doc_id, {_sql_strip(rf"regexp_replace(coalesce(text, ''), '[{_C}]+', ' ', 'g')")} AS flat FROM documents")
 def flattened_text(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).select("doc_id", flatten_space(F.col("text")).alias("flat"))
@@ -330,9 +356,9 @@ def export_stats(spark: SparkSession, d: str) -> DataFrame:
 # --- relational primitives ----------------------------------------------------------------
 
 
-@query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 4) AS qty, round(avg(l_discount), 9) AS avg_disc, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_returnflag, l_linestatus")
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 4) AS qty, round(avg(l_discount), 9) AS avg_disc, max(l_extendedprice) AS top_price FROM lineitem GROUP BY l_returnflag, l_linestatus")
 def hash_aggregate(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("qty"), F.round(F.avg("l_discount"), 9).alias("avg_disc"), F.max("l_shipdate").alias("last_ship"))
+    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("qty"), F.round(F.avg("l_discount"), 9).alias("avg_disc"), F.max("l_extendedprice").alias("top_price"))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49)")

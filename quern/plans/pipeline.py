@@ -97,7 +97,7 @@ def _run(step: str, config: PipelineConfig, spark: SparkSession, work: Callable[
 
 
 def ingest(config: PipelineConfig, spark: SparkSession) -> dict:
-    paths = wet.discover(config.data_dir, config.pattern.rsplit("/", 1)[-1], config.max_files)
+    paths = wet.discover(config.data_dir, config.pattern.rsplit("/", 1)[-1], config.max_files, spark)
     if not paths:
         log.warning("no files match %s below %s", config.pattern, config.data_dir)
     rules = wet.IngestRules(min_chars=config.min_text_chars, max_chars=config.max_text_chars, max_docs_per_file=config.max_docs_per_file)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import io
 import os
 import re
 import zlib
@@ -28,8 +29,15 @@ class IngestRules:
     max_docs_per_file: int = 0
 
 
-def discover(directory: str, pattern: str = "*.wet.gz", max_files: int = 0) -> list[str]:
-    """Sorted paths below a directory whose file name matches and does not start with a dot; [] if there is none."""
+def discover(directory: str, pattern: str = "*.wet.gz", max_files: int = 0, spark: SparkSession | None = None) -> list[str]:
+    """Sorted paths below a directory whose file name matches and does not start with a dot; [] if there is none.
+
+    A directory with a scheme (``hdfs://``, ``s3a://``) is listed by Spark.
+    """
+    if "://" in directory:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(directory)
+        found = sorted(r["path"] for r in files.select("path").toLocalIterator() if not r["path"].rsplit("/", 1)[-1].startswith("."))
+        return found[:max_files] if max_files else found
     found = sorted(os.path.join(root, f) for root, _, files in os.walk(directory) for f in files if not f.startswith(".") and fnmatch(f, pattern))
     return found[:max_files] if max_files else found
 
@@ -60,7 +68,7 @@ def read_wet(spark: SparkSession, paths: list[str], rules: IngestRules | None =
     texts normalised, those below ``min_chars`` dropped and longer ones cut to
     ``max_chars``. A damaged file gives the records before the damage. The cap
     counts records that are given out, which is why short ones are dropped in
-    the reader.
+    the reader. Paths with a scheme are fetched by Spark, one file a row.
     """
     r = rules or IngestRules()
     schema = "url string, warc_date string, record_id string, source_path string, text string"
@@ -72,9 +80,9 @@ def read_wet(spark: SparkSession, paths: list[str], rules: IngestRules | None =
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for path in b["path"]:
+            for path, content in zip(b["path"], b["content"]):
                 out, n, size = [], 0, 0
-                with gzip.open(path) as stream:
+                with gzip.open(path if content is None else io.BytesIO(content)) as stream:
                     try:
                         for headers, body in records(stream):
                             if headers.get("warc-type", "").lower() != r.warc_type or not body:
@@ -93,8 +101,11 @@ def read_wet(spark: SparkSession, paths: list[str], rules: IngestRules | None =
                         pass
                 yield pd.DataFrame(out, columns=["url", "warc_date", "record_id", "source_path", "text"])
 
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
-    raw = files.mapInPandas(scan, schema)
+    if any("://" in p for p in paths):
+        files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    else:
+        files = spark.createDataFrame([(p, None) for p in paths], "path string, content binary")
+    raw = files.repartition(max(1, len(paths))).mapInPandas(scan, schema)
     text = F.substring(normalise(F.col("text")), 1, r.max_chars)
     return raw.select(document_id(F.col("source_path"), F.col("url"), F.col("warc_date"), F.col("record_id")).alias("doc_id"), "url", "warc_date", "source_path", text.alias("text"))
 

@@ -42,6 +42,10 @@ def test_reader(spark, archive):
     assert all(len(r.doc_id) == 40 and r.source_path.endswith("b.wet.gz") for r in rows)
     assert wet.read_wet(spark, paths[:1], wet.IngestRules(max_docs_per_file=2)).count() == 2
     assert wet.read_wet(spark, [p for p in paths if p.endswith("c.wet.gz")]).count() < 5
+    remote = wet.discover("file://" + archive, spark=spark)
+    assert [os.path.basename(p) for p in remote] == [os.path.basename(p) for p in paths]
+    again = wet.read_wet(spark, ["file://" + p for p in paths if p.endswith("b.wet.gz")])
+    assert sorted(r.text for r in again.collect()) == sorted(r.text for r in rows)
 
 
 def english():
