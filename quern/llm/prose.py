@@ -22,6 +22,8 @@ from quern.functions.dist import spread
 
 #: common_words is a fixed lexicon; a larger one than this is an error.
 MAX_COMMON = 100_000
+#: Periodicity or autocorrelation from which on a document is laid out in rows or items.
+REGULAR = 0.6
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _HAN = re.compile(r"[㐀-鿿豈-﫿]")
@@ -118,8 +120,8 @@ def _prose_words(line: Line) -> bool:
     return n >= 6 and line.ends and line.text.count(",") * 4 <= n and 2.5 <= line.letters / n <= 11 and (not latin or 0.28 <= vowels / max(1, len(body)) <= 0.6) and len(set(line.words)) * 3 >= n * 2 and line.common >= 1
 
 
-def phrase_runs(lines: list[Line]) -> list[bool]:
-    """True for lines in runs of three or more short phrases of one shape, an item each."""
+def phrase_runs(lines: list[Line], least: int = 3) -> list[bool]:
+    """True for lines in runs of ``least`` or more short phrases of one shape, an item each."""
 
     def shape(x: Line) -> tuple | None:
         short = x.han <= 13 if x.han >= 4 else len(x.words) <= 9
@@ -134,20 +136,30 @@ def phrase_runs(lines: list[Line]) -> list[bool]:
         j = i
         while j < len(lines) and shapes[j] is not None and shapes[j] == shapes[i]:
             j += 1
-        if j - i >= 3:
+        if j - i >= least:
             out[i:j] = [True] * (j - i)
         i = max(j, i + 1)
     return out
 
 
-def sentence_lines(lines: list[Line], common: frozenset[str]) -> tuple[list[bool], list[bool], list[bool]]:
-    """For each line: holds sentences; is a row of a table; is an item of a list."""
+def shape_of(lines: list[Line]) -> tuple[float, float]:
+    """(periodicity of markers and indents, autocorrelation of line lengths)."""
+    marks = [2 if x.marker else 3 if x.number_first else 4 + x.indent if x.indent else 0 for x in lines]
+    return periodicity(marks), autocorrelation(np.array([x.size for x in lines]))
+
+
+def sentence_lines(lines: list[Line], common: frozenset[str], regular: bool = False) -> tuple[list[bool], list[bool], list[bool]]:
+    """For each line: holds sentences; is a row of a table; is an item of a list.
+
+    In a document of ``regular`` shape two neighbouring phrases make a list
+    already; in others it takes three.
+    """
     n = len(lines)
     table, listed, prose = [False] * n, [False] * n, [False] * n
     for i in range(n - 1):
         if _aligned(lines[i], lines[i + 1]):
             table[i] = table[i + 1] = True
-    phrases = phrase_runs(lines)
+    phrases = phrase_runs(lines, 2 if regular else 3)
     for i, x in enumerate(lines):
         near = [lines[j] for j in (i - 1, i + 1) if 0 <= j < n]
         listed[i] = (x.marker and any(y.marker for y in near)) or (x.number_first and len(x.words) <= 6 and any(y.number_first and len(y.words) <= 6 for y in near))
@@ -176,9 +188,9 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
     lines = [Line(x, common) for x in text.replace("\r\n", "\n").replace("\r", "\n").split("\n") if x and not x.isspace()]
     size = sum(x.size for x in lines)
     words = sum(len(x.words) for x in lines)
-    prose, table, listed = sentence_lines(lines, common)
+    period, correlation = shape_of(lines)
+    prose, table, listed = sentence_lines(lines, common, period >= REGULAR or correlation >= REGULAR)
     n = len(lines)
-    marks = [2 if x.marker else 3 if x.number_first else 4 + x.indent if x.indent else 0 for x in lines]
     return (
         words,
         sum(x.letters for x in lines) / max(1, words),
@@ -189,8 +201,8 @@ def describe(text: str | None, common: frozenset[str]) -> tuple:
         sum(x.ends for x in lines) / max(1, n),
         sum(table) / max(1, n),
         sum(listed) / max(1, n),
-        periodicity(marks),
-        autocorrelation(np.array([x.size for x in lines])),
+        period,
+        correlation,
         sum(x.size for x, p in zip(lines, prose) if p) / max(1, size),
     )
 
