@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one key that a single task may be asked to hold in a lookup.
@@ -39,6 +39,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, however many later expressions use them.
+
+    Catalyst inlines a projection into the filters and projections above it, and
+    a costly expression with it. Nothing is inlined through a generator, so a
+    one-element explode keeps the values as plain attributes; it runs inside the
+    same stage.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    held = df.select(*rest, F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_once"))
+    return held.select(*rest, *[F.col(f"_once.{k}").alias(k) for k in columns])
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core a part of a scan that has fewer splits than there are cores.
 

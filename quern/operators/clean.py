@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import spread
+from quern.functions.dist import once, spread
 from quern.functions.text import CJK_CHARS, WORD_CHARS, WS_CHARS, count_in, normalise, ratio, strip
 
 REASONS = ("too_short", "too_long", "too_sparse", "low_language_signal", "too_much_punct", "dup_lines", "ok")
@@ -53,16 +53,15 @@ def score_clean(df: DataFrame, rules: CleanRules | None = None, text_col: str =
     """
     r = rules or CleanRules()
     rest = [c for c in df.columns if c not in ("kept", "drop_reason", *METRICS, text_col)]
-    out = spread(df).select(*rest, normalise(F.col(text_col)).alias(text_col))
+    out = once(spread(df).select(*rest, text_col), **{text_col: normalise(F.col(text_col))})
     t = F.col(text_col)
     n = F.length(t)
-    out = out.withColumns(
-        {
-            "_n": n,
-            "_non_ws": ratio(n - count_in(t, WS_CHARS), n),
-            "_alpha": ratio(count_in(t, f"A-Za-z{CJK_CHARS}"), n),
-            "_punct": ratio(n - count_in(t, f"{WORD_CHARS}{WS_CHARS}{CJK_CHARS}"), n),
-        }
+    out = once(
+        out,
+        _n=n,
+        _non_ws=ratio(n - count_in(t, WS_CHARS), n),
+        _alpha=ratio(count_in(t, f"A-Za-z{CJK_CHARS}"), n),
+        _punct=ratio(n - count_in(t, f"{WORD_CHARS}{WS_CHARS}{CJK_CHARS}"), n),
     )
     early = (
         F.when(F.col("_n") < r.min_chars, "too_short")
@@ -72,7 +71,8 @@ def score_clean(df: DataFrame, rules: CleanRules | None = None, text_col: str =
         .when(F.col("_punct") > r.max_punct_ratio, "too_much_punct")
     )
     # lines are only looked at in texts that pass everything else
-    out = out.withColumn("_early", early).withColumn("m_dup_line", F.when(F.col("_early").isNull(), dup_line_ratio(t)).otherwise(F.lit(0.0)))
+    out = out.withColumn("_early", early)
+    out = once(out, m_dup_line=F.when(F.col("_early").isNull(), dup_line_ratio(t)).otherwise(F.lit(0.0)))
     reason = F.when(F.col("_early").isNotNull(), F.col("_early")).when(F.col("m_dup_line") > r.max_dup_line_ratio, "dup_lines").otherwise("ok")
     sized = ~F.col("drop_reason").isin("too_short", "too_long")
     out = out.withColumn("drop_reason", reason).withColumns({m: F.when(sized, F.col(x)).otherwise(F.lit(0.0)) for m, x in (("m_non_ws", "_non_ws"), ("m_alpha_cjk", "_alpha"), ("m_punct", "_punct"))})

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import spread
+from quern.functions.dist import once, spread
 from quern.functions.text import BOUNDARY, RE2_SPACE
 
 # The patterns of the structured kinds, in their order of replacement.
@@ -19,6 +19,8 @@ PATTERNS = {
     "phone": (r"\b(?:\+?\d{1,3}[-.\s]?)?(?:\(?\d{2,4}\)?[-.\s]?)?\d{3}[-.\s]?\d{4}\b", "<PHONE>"),
     "ssn": (r"\b\d{3}-\d{2}-\d{4}\b", "<SSN>"),
 }
+#: A character without which a kind can't occur: texts that lack it skip the pattern.
+NEEDS = {"email": "@", "ip4": ".", "ip6": ":", "ssn": "-"}
 # Words and shapes that send a text to the name stage.
 CONTACT = (
     r"(?i)\b(contact|call|email\s+me|reach\s+me|tel|phone|ssn|wechat|whatsapp|line|telegram)\b"
@@ -50,14 +52,20 @@ def jvm(pattern: str) -> str:
 
 def redacted(text: Column) -> Column:
     """All structured kinds replaced, one after the other; null stays null."""
-    for pattern, mark in PATTERNS.values():
-        text = F.regexp_replace(text, jvm(pattern), mark)
+    for kind, (pattern, mark) in PATTERNS.items():
+        changed = F.regexp_replace(text, jvm(pattern), mark)
+        text = F.when(text.contains(NEEDS[kind]), changed).otherwise(text) if kind in ("email", "ip6") else changed
     return text
 
 
 def flags(text: Column) -> dict[str, Column]:
     """What the original text holds, by kind."""
-    return {f"pii_has_{k}": F.coalesce(text.rlike(jvm(p)), F.lit(False)) for k, (p, _) in PATTERNS.items()}
+
+    def holds(kind: str, pattern: str) -> Column:
+        hit = text.rlike(jvm(pattern))
+        return F.coalesce(text.contains(NEEDS[kind]) & hit if kind in NEEDS else hit, F.lit(False))
+
+    return {f"pii_has_{k}": holds(k, p) for k, (p, _) in PATTERNS.items()}
 
 
 def ner_language(text: Column, lang: Column | None = None) -> Column:
@@ -85,11 +93,18 @@ def redact(
     unseen. ``keep_stats`` keeps the flags, ``keep_routing`` need_ner and ner_lang.
     """
     src = F.col(text_col)
-    found = flags(src)
-    gate = F.coalesce(src.contains("@"), F.lit(False)) | F.coalesce(src.rlike(jvm(CONTACT)), F.lit(False)) | F.coalesce(src.rlike(jvm(NAME_SHAPE)), F.lit(False))
-    for c in found.values():
-        gate = gate | c
-    out = spread(df).select(*[c for c in df.columns if c not in (*FLAGS, "need_ner", "ner_lang", text_col)], redacted(src).alias(text_col), *[c.alias(k) for k, c in found.items()], gate.alias("need_ner"))
+    rest = [c for c in df.columns if c not in (*FLAGS, "need_ner", "ner_lang")]
+    looks = F.coalesce(src.contains("@") | src.rlike(jvm(CONTACT)) | src.rlike(jvm(NAME_SHAPE)), F.lit(False))
+    wanted = {text_col: redacted(src)}
+    if keep_stats or keep_routing or names is not None:
+        wanted |= flags(src) | {"_looks": looks}
+    out = once(spread(df).select(*rest), **wanted)
+    if len(wanted) == 1:
+        return out.select(*rest)
+    gate = F.col("_looks")
+    for c in FLAGS:
+        gate = gate | F.col(c)
+    out = out.withColumn("need_ner", gate)
     out = out.withColumn("ner_lang", ner_language(F.col(text_col), F.col(lang_col) if lang_col and lang_col in df.columns else None))
     if names is not None:
 
@@ -103,5 +118,4 @@ def redact(
                 yield text
 
         out = out.withColumn(text_col, stage(text_col, "need_ner", "ner_lang"))
-    first = [c for c in df.columns if c not in (*FLAGS, "need_ner", "ner_lang")]
-    return out.select(*first, *(FLAGS if keep_stats else ()), *(("need_ner", "ner_lang") if keep_routing else ()))
+    return out.select(*rest, *(FLAGS if keep_stats else ()), *(("need_ner", "ner_lang") if keep_routing else ()))
