@@ -232,7 +232,9 @@ class CRF:
         keep = lengths > 0
         if not keep.all():
             raise ValueError("sequences must not be empty")
-        x = minimise(loss, np.zeros(n_feat * width + width * width + 2 * width), rounds)
+        # a step of the line search may overshoot; what is not finite is refused
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            x = minimise(loss, np.zeros(n_feat * width + width * width + 2 * width), rounds)
         w, self.trans, self.start, self.end = (v.astype(np.float32) for v in unpack(x))
         strong = np.abs(w).max(1) > 1e-3
         index = np.cumsum(strong) - 1
