@@ -8,6 +8,7 @@ a time, longest first, so a step is one contiguous block without padding.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -170,23 +171,47 @@ class CRF:
     def _names(self, token: str, shift: int) -> list[str]:
         return self.features(token) if shift == 0 else [f"{shift}{x}" for x in self.near(token)]
 
-    def fit(self, sequences: list[list[str]], gold: list[list[int]], rounds: int = 60, l2: float = 0.3) -> CRF:
-        """Maximum likelihood with a Gaussian prior."""
-        vocabulary: dict[str, int] = {}
+    def fit(self, sequences: list[list[str]], gold: list[list[int]], rounds: int = 60, l2: float = 0.3, least: int = 2) -> CRF:
+        """Maximum likelihood with a Gaussian prior, over features that at least ``least`` tokens have."""
         types: dict[str, int] = {"": 0}
         ids = np.array([types.setdefault(t, len(types)) for s in sequences for t in s], np.int64)
         width = len(self.labels)
-        lists = {k: [[vocabulary.setdefault(x, len(vocabulary)) for x in dict.fromkeys(self._names(t, k))] for t in types] for k in self.shifts}
+        named = {k: [list(dict.fromkeys(self._names(t, k))) for t in types] for k in self.shifts}
+        often: Counter[str] = Counter()
+        for times, *rows in zip(np.bincount(ids, minlength=len(types)).tolist(), *named.values()):
+            for row in rows:
+                for x in row:
+                    often[x] += max(times, 1)
+        vocabulary = {x: i for i, x in enumerate(x for x, n in often.items() if n >= least or x.endswith("edge"))}
+        lists = {k: [[vocabulary[x] for x in row if x in vocabulary] for row in rows] for k, rows in named.items()}
         lengths = np.array([len(s) for s in sequences])
         steps = Steps(lengths)
         y = np.array([v for s in gold for v in s], np.int64)
         context = {k: self._shifted(ids, lengths, k, 0) for k in self.shifts}
-        # tokens x types and types x features as index arrays, sorted for sums
+
+        def groups(keys: np.ndarray) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+            """How to sum rows by key: the order to take them in, where groups start, their keys."""
+            order = None if np.all(keys[1:] >= keys[:-1]) else np.argsort(keys, kind="stable")
+            k = keys if order is None else keys[order]
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+            return order, first, k[first]
+
+        def grouped(values: np.ndarray, how: tuple, n: int) -> np.ndarray:
+            order, first, keys = how
+            out = np.zeros((n, width))
+            if len(first):
+                out[keys] = np.add.reduceat(values if order is None else values[order], first, axis=0)
+            return out
+
+        # tokens x types and types x features as index arrays
         spread = {}
         for k in self.shifts:
             counts = np.array([len(v) for v in lists[k]])
             flat = np.array([v for part in lists[k] for v in part], np.int64)
-            spread[k] = (counts, flat, np.argsort(flat, kind="stable"), np.repeat(np.arange(len(counts)), counts), np.argsort(context[k], kind="stable"))
+            owner = np.repeat(np.arange(len(counts)), counts)
+            by_feature, by_type = groups(flat), groups(context[k])
+            # features' gradients take the types in the features' order at once
+            spread[k] = (len(counts), flat, groups(owner), owner if by_feature[0] is None else owner[by_feature[0]], (None, *by_feature[1:]), by_type)
         n_feat = len(vocabulary)
         onehot = np.zeros((len(ids), width))
         onehot[np.arange(len(ids)), y] = 1
@@ -196,14 +221,6 @@ class CRF:
         np.add.at(gold_pairs, (prev[prev > 0] - 1, cur[prev > 0]), 1)
         ends = starts + lengths - 1
 
-        def grouped(values: np.ndarray, order: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
-            out = np.zeros((n, width))
-            if len(order):
-                k = keys[order]
-                first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-                out[k[first]] = np.add.reduceat(values[order], first, axis=0)
-            return out
-
         def unpack(x):
             w = x[: n_feat * width].reshape(n_feat, width)
             rest = x[n_feat * width :]
@@ -213,17 +230,15 @@ class CRF:
             w, trans, start, end = unpack(x)
             scores = np.zeros((len(ids), width))
             for k in self.shifts:
-                counts, flat, _, owner, _ = spread[k]
-                per_type = grouped(w[flat], np.arange(len(flat)), owner, len(counts))
-                scores += per_type[context[k]]
+                n_types, flat, by_owner, *_ = spread[k]
+                scores += grouped(w[flat], by_owner, n_types)[context[k]]
             post, total, expected = forward_backward(scores, steps, trans, start, end, pairs=True)
             fit = scores[np.arange(len(ids)), y].sum() + (gold_pairs * trans).sum() + start[y[starts]].sum() + end[y[ends]].sum()
             diff = post - onehot
             gw = np.zeros_like(w)
             for k in self.shifts:
-                counts, flat, order, owner, by_type = spread[k]
-                per_type = grouped(diff, by_type, context[k], len(counts))
-                gw += grouped(per_type[owner], order, flat, n_feat)
+                n_types, _, _, owner, by_feature, by_type = spread[k]
+                gw += grouped(grouped(diff, by_type, n_types)[owner], by_feature, n_feat)
             gs = diff[starts].sum(0)
             ge = diff[ends].sum(0)
             grad = np.concatenate([gw.ravel(), (expected - gold_pairs).ravel(), gs, ge]) + l2 * x

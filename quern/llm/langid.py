@@ -172,7 +172,7 @@ def train(samples: DataFrame, common_words: DataFrame, seed: int = 5, rounds: in
             lexicon.setdefault(form, []).append(r["lang"])
     features = Features({w: tuple(v) for w, v in lexicon.items()})
     seqs, gold = training_sequences([(r["lang"], r["sample_text"]) for r in texts], seed)
-    return CRF(LABELS, features.own, features.near).fit(seqs, gold, rounds=rounds)
+    return CRF(LABELS, features.own, features.near).fit(seqs, gold, rounds=rounds, least=1)
 
 
 def _cut(lengths: list[int]) -> np.ndarray:
