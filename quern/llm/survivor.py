@@ -1,16 +1,19 @@
-"""Problem 7: one surviving record for each group of versions, its gaps filled whole bundles at a time.
+"""Problem 7: one surviving record for each group of versions, its gaps filled whole bundles first.
 
 The survivor is the record with the largest (ts, length, doc_id). Its empty
-fields are filled from other records of the group, but never field by field:
-fields that depend on each other (an address and the date it was fetched) form a
-bundle that is taken from one record. Which bundles to take is an optimisation
-for each group: the sum of the trust of the chosen bundles is to be largest under
-functional dependencies between fields of different bundles (one url has one
-language). It is solved by branch and bound:
+fields are filled from other records of the group: fields that depend on each
+other (an address and the date it was fetched) form a bundle that is taken from
+one record, which agrees with what the survivor has of it. Only where no record
+of the group has such a whole bundle are its empty fields filled one by one, from
+records that do not contradict the survivor's part of the bundle first. Which
+bundles and fields to take is an optimisation for each group: the number of
+filled fields, then the agreement, then the sum of the trust is to be largest
+under functional dependencies between fields of different bundles (one url has
+one language). It is solved by branch and bound:
 
 * the bounding runs distributed, over candidates that were first folded to
-  distinct values (map-side): a candidate whose trust plus the best trust of all
-  other bundles stays below the best that a single record offers is cut off;
+  distinct values (map-side): a candidate whose score plus the best scores of all
+  other parts stays below the best that a single record offers is cut off;
 * the few candidates that are left meet in one small branch-and-bound search per
   group, for which the choices within a single record are the incumbent.
 """
@@ -18,9 +21,10 @@ language). It is solved by branch and bound:
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.dist import cut, salted_lookup
@@ -83,8 +87,8 @@ def survivors(
     whose doc_id is null, have no row. Equal records are one candidate; between
     records that tie in (ts, length, doc_id) the one whose fields come last in
     order wins, so the result is the same in every run. ``filled`` names the
-    fields that came from other records. A gap for which no consistent bundle
-    exists stays null.
+    fields that came from other records. The survivor's own values are kept; a
+    field stays null only if no record of the group has it.
     """
     fields = [f for b in bundles for f in b]
     # ids and short fields only, used several times each: written once, in the shared folder
@@ -103,61 +107,85 @@ def survivors(
     versions = members.withColumn("_t", trust).groupBy("group_id", *fields).agg(F.max("_t").alias("_t"))
     seen = salted_lookup(versions, "group_id", open_base, "inner")
 
-    # propagate what the survivor itself fixes: candidates must agree with its filled
-    # fields, and dependent values with those seen beside its determinants
+    # parts to fill: every bundle as a whole and, for groups where no record has it whole, each of its fields
+    parts = [(i, b) for i, b in enumerate(bundles)] + [(i, (f,)) for i, b in enumerate(bundles) if len(b) > 1 for f in b]
+    # propagate what the survivor itself fixes: dependent values must be those seen beside its
+    # determinants, and a whole bundle must agree with its filled fields
+    beside = {(x, y): F.col(f"_b_{x}").isNull() | (F.col(x).isNotNull() & (F.col(x) == F.col(f"_b_{x}"))) for x, y in dependencies}
     whole = {}
     for i, b in enumerate(bundles):
         agrees = F.lit(True)
-        for f in b:
-            agrees = agrees & F.col(f).isNotNull() & (F.col(f"_b_{f}").isNull() | (F.col(f) == F.col(f"_b_{f}")))
         missing = F.lit(False)
         for f in b:
+            agrees = agrees & F.col(f).isNotNull() & (F.col(f"_b_{f}").isNull() | (F.col(f) == F.col(f"_b_{f}")))
             missing = missing | F.col(f"_b_{f}").isNull()
-        whole[f"_w{i}"] = agrees & missing
-    seen = cut(seen.withColumns(whole))
+        whole[i] = agrees & missing
+
+    def bindings(b: tuple[str, ...]) -> list[int]:
+        return [k for k, (_, y) in enumerate(dependencies) if y in b]
+
+    def all_of(conditions) -> Column:
+        return reduce(lambda p, q: p & q, conditions, F.lit(True))
+
+    seen = cut(seen)
+    fixed = seen.groupBy("group_id").agg(
+        *[F.max(F.coalesce((F.col(x) == F.col(f"_b_{x}")) & F.col(y).isNotNull(), F.lit(False))).alias(f"_d{k}") for k, (x, y) in enumerate(dependencies)],
+        *[F.max(whole[i]).alias(f"_any{i}") for i in range(len(bundles))],
+        *[F.max(whole[i] & all_of(beside[dependencies[k]] for k in bindings(b))).alias(f"_bound{i}") for i, b in enumerate(bundles)],
+    )
+    seen = salted_lookup(seen, "group_id", fixed, "inner")
+    # more filled fields count for more than agreement with the survivor, and that for more than trust
+    agreement = 1 << (38 + (len(fields) + 1).bit_length())
+    field = agreement << (2 * len(fields)).bit_length()
+    scores = {}
+    for p, (i, b) in enumerate(parts):
+        tied = F.lit(False)
+        for k in bindings(bundles[i]):
+            tied = tied | F.col(f"_d{k}")
+        has_whole = F.when(tied, F.col(f"_bound{i}")).otherwise(F.col(f"_any{i}"))
+        fits = all_of(~F.col(f"_d{k}") | beside[dependencies[k]] for k in bindings(b))
+        if p < len(bundles):
+            gaps = sum((F.col(f"_b_{f}").isNull().cast("long") for f in b), F.lit(0))
+            scores[f"_s{p}"] = F.when(has_whole & whole[i] & fits, F.col("_t") + agreement + gaps * field)
+        else:
+            (f,) = b
+            agrees = all_of(F.coalesce(F.col(g) == F.col(f"_b_{g}"), F.lit(True)) for g in bundles[i])
+            scores[f"_s{p}"] = F.when(~has_whole & F.col(f"_b_{f}").isNull() & F.col(f).isNotNull() & fits, F.col("_t") + agrees.cast("long") * agreement + field)
+    seen = cut(seen.withColumns(scores))
     bound = seen.groupBy("group_id").agg(
-        F.max(sum((F.when(F.col(f"_w{i}"), F.col("_t")).otherwise(0) for i in range(len(bundles))), F.lit(0))).alias("_single"),
-        *[F.coalesce(F.max(F.when(F.col(f"_w{i}"), F.col("_t"))), F.lit(0)).alias(f"_m{i}") for i in range(len(bundles))],
-        *[F.max((F.col(x) == F.col(f"_b_{x}")) & F.col(y).isNotNull()).alias(f"_d{k}") for k, (x, y) in enumerate(dependencies)],
+        F.max(sum((F.coalesce(f"_s{p}", F.lit(0)) for p in range(len(parts))), F.lit(0))).alias("_single"),
+        *[F.coalesce(F.max(f"_s{p}"), F.lit(0)).alias(f"_m{p}") for p in range(len(parts))],
     )
     marked = salted_lookup(seen, "group_id", bound, "inner")
-    total = sum((F.col(f"_m{i}") for i in range(len(bundles))), F.lit(0))
-    # where a dependency on the survivor's own value may forbid what a single record offers, nothing is cut off
-    bounded = F.lit(True)
-    for k in range(len(dependencies)):
-        bounded = bounded & ~F.coalesce(F.col(f"_d{k}"), F.lit(False))
+    total = sum((F.col(f"_m{p}") for p in range(len(parts))), F.lit(0))
     kinds = []
-    for i, b in enumerate(bundles):
-        near = ~bounded | (F.col("_t") + total - F.col(f"_m{i}") >= F.col("_single"))
-        for k, (x, y) in enumerate(dependencies):
-            if y in b:
-                near = near & (F.col(f"_b_{x}").isNull() | ~F.coalesce(F.col(f"_d{k}"), F.lit(False)) | (F.col(x) == F.col(f"_b_{x}")))
-        kinds.append(F.when(F.col(f"_w{i}") & near, F.struct(F.lit(i).alias("bundle"), F.to_json(F.struct(*b)).alias("value"))))
+    for p, (_, b) in enumerate(parts):
+        near = F.col(f"_s{p}") + total - F.col(f"_m{p}") >= F.col("_single")
+        kinds.append(F.when(near, F.struct(F.lit(p).alias("part"), F.to_json(F.struct(*b)).alias("value"), F.col(f"_s{p}").alias("score"))))
     # (determinant, dependent) pairs seen in the group; only those between candidates matter below
     for k, (x, y) in enumerate(dependencies):
-        kinds.append(F.when(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(f"_b_{x}").isNull(), F.struct(F.lit(-1 - k).alias("bundle"), F.to_json(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).alias("value"))))
-    rows = marked.select("group_id", "_t", F.explode(F.filter(F.array(*kinds), lambda x: x.isNotNull())).alias("c")).groupBy("group_id", "c.bundle", "c.value").agg(F.max("_t").alias("trust"))
+        kinds.append(F.when(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(f"_b_{x}").isNull(), F.struct(F.lit(-1 - k).alias("part"), F.to_json(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).alias("value"), F.col("_t").alias("score"))))
+    rows = marked.select("group_id", F.explode(F.filter(F.array(*kinds), lambda x: x.isNotNull())).alias("c")).groupBy("group_id", "c.part", "c.value").agg(F.max("c.score").alias("score"))
     rows = cut(rows)
     # a pair is of use only if its determinant is that of a candidate that is left
-    names = {k: i for k, (x, _) in enumerate(dependencies) for i, b in enumerate(bundles) if x in b}
-    pairs = rows.where("bundle < 0")
+    pairs = rows.where("part < 0")
     det = None
     for k, (x, _) in enumerate(dependencies):
-        part = rows.where(F.col("bundle") == names[k]).select("group_id", F.lit(-1 - k).alias("bundle"), F.get_json_object("value", f"$.{x}").alias("x"))
+        part = rows.where(F.col("part").isin([p for p, (_, b) in enumerate(parts) if x in b])).select("group_id", F.lit(-1 - k).alias("part"), F.get_json_object("value", f"$.{x}").alias("x"))
         det = part if det is None else det.unionByName(part)
     if det is not None:
-        pairs = pairs.withColumn("x", F.get_json_object("value", "$.x")).join(det.distinct(), ["group_id", "bundle", "x"], "left_semi").select("group_id", "bundle", "value", "trust")
-    candidates = rows.where("bundle >= 0").unionByName(pairs)
+        pairs = pairs.withColumn("x", F.get_json_object("value", "$.x")).join(det.distinct(), ["group_id", "part", "x"], "left_semi").select("group_id", "part", "value", "score")
+    candidates = rows.where("part >= 0").unionByName(pairs)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        options: list[list[tuple[int, dict]]] = [[] for _ in bundles]
+        options: list[list[tuple[int, dict]]] = [[] for _ in parts]
         pairs: dict[tuple[str, str], dict[str, set]] = {d: {} for d in dependencies}
-        for bundle, value, t in zip(pdf["bundle"], pdf["value"], pdf["trust"]):
+        for part, value, score in zip(pdf["part"], pdf["value"], pdf["score"]):
             v = json.loads(value)
-            if bundle >= 0:
-                options[bundle].append((int(t), v))
+            if part >= 0:
+                options[part].append((int(score), v))
             else:
-                pairs[dependencies[-1 - bundle]].setdefault(v["x"], set()).add(v["y"])
+                pairs[dependencies[-1 - part]].setdefault(v["x"], set()).add(v["y"])
         for o in options:
             o.sort(key=lambda x: (-x[0], sorted(x[1].items())))
             o.append((0, {}))

@@ -56,3 +56,41 @@ def test_empty_and_random(spark):
     got = run(spark, records, pairs)
     for g, r in got.items():
         assert r.url != "" and isinstance(r.filled, str)
+
+
+def test_no_fillable_field_stays_null(spark):
+    records = [
+        (1, 9, 1, "u", None, None, "x", None),  # dates: with no url, with another, and a newer one with another
+        (2, 5, 1, None, None, "d2", "x", None),
+        (3, 6, 1, "v", "en", "d3", "x", None),
+        (10, 9, 1, "u", "de", None, "x", None),  # only beside another url
+        (11, 5, 1, "v", "de", "d", "x", None),
+        (20, 9, 1, None, None, None, "x", None),  # no whole bundle; the language goes with the url
+        (21, 5, 1, "u", "de", None, "x", None),
+        (22, 6, 1, None, "en", "d", "x", None),
+        (30, 9, 1, "u", "de", None, "x", None),  # a whole bundle that agrees comes first
+        (31, 1, 1, "u", None, "d1", "x", None),
+        (32, 6, 1, None, "en", "d2", "x", None),
+    ]
+    got = run(spark, records, [(1, 2), (2, 3), (10, 11), (20, 21), (21, 22), (30, 31), (31, 32)])
+    assert {g: (r.doc_id, r.url, r.lang, r.warc_date, r.filled) for g, r in got.items()} == {
+        1: (1, "u", "en", "d2", "warc_date,lang"),
+        10: (10, "u", "de", "d", "warc_date"),
+        20: (20, "u", "de", "d", "url,warc_date,lang"),
+        30: (30, "u", "de", "d1", "warc_date"),
+    }
+
+
+def test_null_only_where_the_group_has_nothing(spark):
+    rng = random.Random(5)
+    pick = lambda *x: rng.choice([None, None, *x])
+    records = [(i, rng.randrange(9), 1, pick("a", "b", "c"), pick("en", "de"), pick("1", "2"), "g", None) for i in range(200)]
+    got = run(spark, records, [(i, i - i % 4) for i in range(200)])
+    assert set(got) == set(range(0, 200, 4))
+    for g, r in got.items():
+        group = records[g : g + 4]
+        own = next(x for x in group if x[0] == r.doc_id)
+        for i, f in ((3, "url"), (4, "lang"), (5, "warc_date")):
+            values = {x[i] for x in group} - {None}
+            assert r[f] == own[i] if own[i] else r[f] in (values or {None})
+            assert (f in r.filled.split(",")) == (own[i] is None and bool(values))
