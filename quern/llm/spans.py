@@ -11,11 +11,14 @@ positions are seeds.
    of all records carry costs no more than any other.
 2. A seed stands for all runs of which it is the least window: one stretch, its
    context. Records with equal contexts form a class; each is joined to the
-   class's first document, a star instead of all pairs. Where one seed has
-   several contexts, one member of each class is compared with those of the
-   others by extending the seed to both sides; where it has very many, the
-   members' runs are matched as hashes of SPAN characters, a star again. Any two
-   records with a common run are thus linked, directly or through a centre.
+   class's first document, a star instead of all pairs; what the first document
+   repeats is joined to the class's last. Where one seed has several contexts,
+   one member of each class is compared with those of the others by extending
+   the seed to both sides; where it has very many, the members' runs are matched
+   as hashes of SPAN characters, a star again. In both, a class is also stood for
+   by a member of its last document, and a class of one document by all its
+   hits. Any two records with a common run are thus linked, directly or through
+   a centre, and every copy of a shared run is matched with another document.
 3. The matches of a document with one centre are chained: those in order in both
    texts are joined under a cost for the gap between them, by dynamic programming
    over a Fenwick tree. Verbatim matches that overlap on one diagonal give the
@@ -91,10 +94,13 @@ def _star(hits: DataFrame, key: str) -> DataFrame:
     """(doc_id, centre, pos, centre_pos, n): each hit against its key's first document.
 
     Keys of one document only are dropped. Of several hits of the centre the first
-    counts; the other hits of the centre itself are dropped.
+    is the one that others meet; the rest are matched with the key's last document.
     """
-    heads = hits.groupBy(key).agg(F.min(F.struct(F.col("doc_id").alias("centre"), F.col("start").alias("centre_pos"))).alias("_h"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("_rows")).where("_h.centre <> _last").select(key, "_h.centre", "_h.centre_pos", "_rows")
-    return salted_lookup(hits, key, cut(heads), "inner", counts="_rows").where("doc_id <> centre").select("doc_id", "centre", F.col("start").alias("pos"), "centre_pos", "n")
+    place = F.struct("doc_id", "start")
+    heads = hits.groupBy(key).agg(F.min(place).alias("_h"), F.max(place).alias("_l"), F.count(F.lit(1)).alias("_rows")).where("_h.doc_id <> _l.doc_id").select(key, F.col("_h.doc_id").alias("centre"), F.col("_h.start").alias("centre_pos"), F.col("_l.doc_id").alias("_last"), F.col("_l.start").alias("_last_pos"), "_rows")
+    met = salted_lookup(hits, key, cut(heads), "inner", counts="_rows").where("doc_id <> centre or start <> centre_pos")
+    own = F.col("doc_id") == F.col("centre")
+    return met.select(F.when(own, F.col("_last")).otherwise(F.col("doc_id")).alias("doc_id"), "centre", F.when(own, F.col("_last_pos")).otherwise(F.col("start")).alias("pos"), F.when(own, F.col("start")).otherwise(F.col("centre_pos")).alias("centre_pos"), "n")
 
 
 def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
@@ -104,11 +110,15 @@ def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     hits = cut(salted_lookup(seeds(documents, span, k), "seed", cut(shared), "inner", counts="_rows"))
     same = _star(hits.select("context", "doc_id", F.col("lo").alias("start"), (F.col("hi") - F.col("lo") + span).alias("n")), "context")
 
-    classes = cut(hits.groupBy("seed", "context").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("_m")))
+    classes = cut(hits.groupBy("seed", "context").agg(F.min(F.struct("doc_id", "pos", "lo", "hi")).alias("_m"), F.max(F.struct(F.col("doc_id").alias("other"), F.col("lo").alias("other_lo"))).alias("_l"), F.count(F.lit(1)).alias("_hits")))
     several = cut(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("seed", "_n", F.col("_n").alias("classes")))
-    members = salted_lookup(classes, "seed", several, "inner", counts="_n").select("seed", "classes", "_m.*")
+    members = salted_lookup(classes, "seed", several, "inner", counts="_n").select("seed", "context", "classes", "_m.*", "_l.*", "_hits")
+    # what other classes share with a class of one document, each of its hits shares with them
+    lone = members.where("doc_id = other and _hits > 1").select("seed", "context", F.col("lo").alias("_lo"))
+    more = hits.join(lone, ["seed", "context"]).where("lo <> _lo").groupBy("seed", "context").agg(F.collect_set("lo").alias("more"))
+    members = members.join(more, ["seed", "context"], "left").withColumn("more", F.coalesce("more", F.array().cast("array<long>")))
     # at most one seed per position of a text: an array never outgrows its document
-    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("seed", "classes", "pos", "lo", "hi")).alias("places"))
+    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("seed", "classes", "pos", "lo", "hi", "other", "other_lo", "more")).alias("places"))
     sources = documents.select("doc_id", "text").where(F.length("text") >= span).join(wanted, "doc_id")
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,26 +128,37 @@ def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
                 for r in places:
                     # a repeated doc_id may bring another text: places beyond its end do not exist
                     if r["hi"] + span <= len(text):
-                        out.append((r["seed"], r["classes"], doc_id, r["pos"], r["lo"], text[r["lo"] : r["hi"] + span]))
-            yield pd.DataFrame(out, columns=["seed", "classes", "doc_id", "pos", "lo", "piece"])
+                        out.append((r["seed"], r["classes"], doc_id, r["pos"], r["lo"], r["other"], r["other_lo"], r["more"], text[r["lo"] : r["hi"] + span]))
+            yield pd.DataFrame(out, columns=["seed", "classes", "doc_id", "pos", "lo", "other", "other_lo", "more", "piece"])
 
-    pieces = cut(sources.mapInPandas(cut_out, "seed long, classes long, doc_id long, pos long, lo long, piece string"))
+    pieces = cut(sources.mapInPandas(cut_out, "seed long, classes long, doc_id long, pos long, lo long, other long, other_lo long, more array<long>, piece string"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, group, out = None, [], []
 
+        def match(d: int, x: int, e: int, y: int, n: int) -> bool:
+            if d != e:
+                out.append((d, e, x, y, n) if d > e else (e, d, y, x, n))
+            return d != e
+
         def close() -> None:
-            for i, (d, p, lo, piece) in enumerate(group):
-                for e, q, lo2, other in group[:i]:
-                    if d == e or piece[p - lo : p - lo + k] != other[q - lo2 : q - lo2 + k]:
+            for i, (d, p, lo, d2, lo_d2, more, piece) in enumerate(group):
+                for e, q, lo2, e2, lo_e2, more2, other in group[:i]:
+                    if d == e == d2 == e2 or piece[p - lo : p - lo + k] != other[q - lo2 : q - lo2 + k]:
                         continue
                     left = _common(piece[: p - lo][::-1], other[: q - lo2][::-1])
                     n = left + k + _common(piece[p - lo + k :], other[q - lo2 + k :])
                     if n >= span:
-                        out.append((max(d, e), min(d, e), *((p - left, q - left) if d > e else (q - left, p - left)), n))
+                        a, b = p - left - lo, q - left - lo2  # within the two contexts
+                        # a class's last document stands in where its first is the one to be matched
+                        _ = match(d, lo + a, e, lo2 + b, n) or match(d, lo + a, e2, lo_e2 + b, n) or match(d2, lo_d2 + a, e, lo2 + b, n)
+                        for r in more:
+                            _ = match(d, int(r) + a, e, lo2 + b, n) or match(d, int(r) + a, e2, lo_e2 + b, n)
+                        for r in more2:
+                            _ = match(e, int(r) + b, d, lo + a, n) or match(e, int(r) + b, d2, lo_d2 + a, n)
 
         for b in batches:
-            for seed, *row in zip(*(b[c].tolist() for c in ("seed", "doc_id", "pos", "lo", "piece"))):
+            for seed, *row in zip(*(b[c].tolist() for c in ("seed", "doc_id", "pos", "lo", "other", "other_lo", "more", "piece"))):
                 if seed != key:
                     close()
                     key, group = seed, []
@@ -154,12 +175,14 @@ def matches(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
 
     def hash_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc_id, lo, piece in zip(b["doc_id"].tolist(), b["lo"].tolist(), b["piece"]):
+            for doc_id, lo, other, other_lo, more, piece in zip(*(b[c].tolist() for c in ("doc_id", "lo", "other", "other_lo", "more", "piece"))):
                 codes, _ = code_points([piece])
                 at = np.arange(len(codes) - span + 1)
-                yield pd.DataFrame({"run": span_hashes(prefix_hashes(codes), at, at + span).view(np.int64), "doc_id": doc_id, "start": lo + at})
+                run = span_hashes(prefix_hashes(codes), at, at + span).view(np.int64)
+                for d, start in {(doc_id, lo), (other, other_lo), *((doc_id, int(r)) for r in more)}:
+                    yield pd.DataFrame({"run": run, "doc_id": d, "start": start + at})
 
-    many = pieces.where(F.col("classes") > MOST_PAIRED).select("doc_id", "lo", "piece").distinct()
+    many = pieces.where(F.col("classes") > MOST_PAIRED).select("doc_id", "lo", "other", "other_lo", "more", "piece").distinct()
     runs = many.mapInPandas(hash_runs, "run long, doc_id long, start long").withColumn("n", F.lit(span).cast("long"))
     return same.unionByName(paired).unionByName(_star(runs, "run"))
 
@@ -324,17 +347,19 @@ def passages(documents: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """
     found = chains(documents, span, k)
     texts = documents.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).groupBy("doc_id").agg(F.max("text").alias("text"))
-    both = found.join(texts, "doc_id")
+    # only what has gaps to align takes its stretch of text along
+    stretch = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    both = found.join(texts, "doc_id").withColumn("text", F.when(F.size("anchors") > 1, stretch).otherwise(""))
     both = salted_lookup(both, "centre", texts.select(F.col("doc_id").alias("centre"), F.col("text").alias("other")), "inner")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             same = []
-            for anchors, text, other in zip(b["anchors"], b["text"], b["other"]):
+            for anchors, start, text, other in zip(b["anchors"], b["start"].tolist(), b["text"], b["other"]):
                 kept, end = 0, None
                 for x, y, n in anchors:
                     if end:
-                        kept += _same(text[end[0] : x], other[end[1] : y])
+                        kept += _same(text[end[0] - start : x - start], other[end[1] : y])
                     kept, end = kept + n, (x + n, y + n)
                 same.append(kept)
             sides = (b["end"] - b["start"]) + (b["centre_end"] - b["centre_start"])

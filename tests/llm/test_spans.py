@@ -67,6 +67,42 @@ def test_same_as_brute_force(spark, k, most, monkeypatch):
     assert seeds(df, 40, k).count() < sum(len(t or "") for _, t in docs) / 4
 
 
+def repeats():
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh äß中") for _ in range(n))
+    p, q = word(60), word(60)
+    docs = [(1, p + p), (2, p), (3, q), (4, q + q)]  # repeated in the smallest id, and in the largest
+    for i in range(5):  # one context twice or more, shared in part with others; ids in any order
+        r = word(50)
+        inner = [(word(25) + r + word(3) + r + word(25)), r + "!" + r, word(30) + r, r + word(30) + r + word(2), (r + "#" * 5) * 3, ("?" * 45 + r + "?" * 45) * 3]
+        docs += list(zip(rng.sample(range(10 + 100 * i, 90 + 100 * i), 6), inner))
+    blocks = [word(rng.choice([15, 30, 45, 70])) for _ in range(12)]
+    docs += [(1000 + i, "".join(rng.choice([*blocks, word(5)]) for _ in range(rng.randrange(1, 9)))) for i in range(80)]
+    docs += [(2000, "xy" * 100), (2001, "yx" * 60), (2002, "z" * 99), (2003, "z" * 50 + word(9) + "z" * 45)]
+    return docs
+
+
+@pytest.mark.parametrize(("k", "most"), [(20, 32), (31, 32), (20, 3), (20, 0)])
+def test_every_copy_counts(spark, k, most, monkeypatch):
+    monkeypatch.setattr("quern.llm.spans.MOST_PAIRED", most)
+    docs = repeats()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want, where = brute(docs, 40)
+    covers = {}
+    for d, t in docs:
+        cover = set()
+        for i in range(len(t) - 39):
+            if len(where[t[i : i + 40]]) > 1:
+                cover.update(range(i, i + 40))
+        if cover:
+            covers[d] = len(cover)
+    got = {r.doc_id: (r.shared_chars, r.share) for r in shared_share(df, 40, k).collect()}
+    assert {d: c for d, (c, _) in got.items()} == covers and got[1] == (120, 1.0) and got[4] == (120, 1.0)
+    assert {r.doc_id for r in sharing_documents(df, 40, k).collect()} == want
+    copies = {(r.centre_start, r.centre_end) for r in passages(df, 40, k).where("centre = 1 and doc_id = 2").collect()}
+    assert copies == {(0, 60), (60, 120)}
+
+
 def test_chaining_and_alignment():
     assert chain([(0, 100, 50), (25, 125, 50), (90, 190, 40), (500, 10, 30)]) == [[(0, 100, 75), (90, 190, 40)], [(500, 10, 30)]]
     assert [len(c) for c in chain([(0, 0, 30), (1000, 1000, 30)])] == [1, 1]
