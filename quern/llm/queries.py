@@ -108,6 +108,10 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).shares
 
 
+def p9_mixture_of_corpus(spark: SparkSession, d: str) -> DataFrame:
+    return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="corpus").selected
+
+
 def p9_shares_of_corpus(spark: SparkSession, d: str) -> DataFrame:
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="corpus").shares
 

@@ -37,3 +37,14 @@ def test_empty_tables(spark):
     m = mix(spark, [], [("a", 1.0, 1, None)])
     assert m.selected.count() == 0 and m.shares.first().actual_share == 0
     assert mix(spark, [(1, "x", "en", "a", 1)], []).shares.count() == 0
+
+
+def test_rows_of_the_whole_corpus_are_a_query(spark):
+    from quern.llm.queries import queries
+
+    d = "/root/testdata/sf0.001"
+    found = {name: queries()[name](spark, d).collect() for name in ("p9_mixture", "p9_mixture_of_corpus", "p9_shares_of_corpus")}
+    size = {name: sum(r.n_tokens * r.copies for r in found[name]) for name in ("p9_mixture", "p9_mixture_of_corpus")}
+    assert size["p9_mixture_of_corpus"] > size["p9_mixture"]
+    assert size["p9_mixture_of_corpus"] == sum(r.mixed_tokens for r in found["p9_shares_of_corpus"])
+    assert all(r.copies <= limit[r.source_key] for limit in [{r.source_key: r.max_repeats for r in found["p9_shares_of_corpus"]}] for r in found["p9_mixture_of_corpus"])
