@@ -98,7 +98,7 @@ class LanguageFilter:
         return F.coalesce(lang.isin(*self._labels) & (score >= self.threshold), F.lit(False))
 
     def predict(self, text: Column) -> Column:
-        """struct(lang, lang_score); blank texts and failing batches are unknown with score 0."""
+        """struct(lang, lang_score); blank texts and texts that the model fails on are unknown with score 0."""
         sent = self.model
 
         @F.pandas_udf("lang string, lang_score double")
@@ -106,12 +106,25 @@ class LanguageFilter:
             for texts in batches:
                 lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 full = [i for i, t in enumerate(texts) if t]
+
+                def fill(at: list[int]) -> None:
+                    labels, scores = sent.predict([texts.iloc[i] for i in at])
+                    for i, a, b in zip(at, labels, [float(x) for x in scores], strict=True):
+                        lang[i], score[i] = a, b
+
                 try:
-                    got = sent.predict([texts.iloc[i] for i in full]) if full else ([], [])
-                    for i, a, b in zip(full, *got):
-                        lang[i], score[i] = a, float(b)
-                except Exception:  # noqa: BLE001 - a text that a backend can't read is unknown, not an error
-                    pass
+                    if full:
+                        fill(full)
+                except MemoryError:
+                    raise
+                except Exception:  # noqa: BLE001 - one text that a backend can't read costs no other its label
+                    for i in full:
+                        try:
+                            fill([i])
+                        except MemoryError:
+                            raise
+                        except Exception:  # noqa: BLE001 - it is unknown, not an error
+                            lang[i], score[i] = UNKNOWN, 0.0
                 yield pd.DataFrame({"lang": lang, "lang_score": score})
 
         return identify(flatten_space(text))
