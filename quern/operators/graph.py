@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import cut, salted_lookup
+from quern.functions.dist import cut, discard, salted_lookup
 
 
 def _roots(parents: DataFrame) -> DataFrame:
@@ -13,9 +13,11 @@ def _roots(parents: DataFrame) -> DataFrame:
     while True:
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("next"))
         step = cut(salted_lookup(parents, "parent", above).select("node", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("more")))
-        parents = step.drop("more")
+        discard(parents)
         if not step.where("more").limit(1).count():
-            return parents
+            return step.drop("more")
+        parents = step.drop("more")
+        parents._written = step._written
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
