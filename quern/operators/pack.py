@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from quern.functions.dist import cut
 
 SEQ_LEN = 4096
-#: Samples that one task orders and sums up.
-ROWS_PER_RANGE = 100_000
 
 
 def with_eos(ids: Column, eos_id: int, add_eos: bool = True, ensure_eos: bool = True) -> Column:
@@ -23,31 +21,23 @@ def with_eos(ids: Column, eos_id: int, add_eos: bool = True, ensure_eos: bool =
     return F.when(full & missing, added).otherwise(ids) if ensure_eos else F.when(full, added).otherwise(ids)
 
 
-def positions(df: DataFrame, size: Column, order: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add ``_start``: the sum of ``size`` over all rows before, in the order of ``order``.
+def positions(df: DataFrame, size: Column, order: list[str]) -> DataFrame:
+    """Add ``_start``, the sum of ``size`` over all rows before in the order of ``order``, and ``_nth``, counted from 1.
 
-    A global prefix sum without a global window: quantiles of the first order
-    column split the rows into ranges, range totals (a few numbers) are summed
-    up, and only within a range rows are ordered. The first order column must be
-    numeric; rows that tie in all of ``order`` may come in any order.
+    A global prefix sum without a global window: rows are ranged by ``order``, of
+    any type, into as many parts as a shuffle has; sums run within a part, and the
+    totals of the parts (one row each) are summed up. The rows are written once
+    with their sums, so what made them runs once. Rows that tie in all of
+    ``order`` may come in any order.
     """
-    first = order[0]
-    spark = df.sparkSession
-    n = df.count()
-    parts = -(-n // rows_per_range)
-    bounds = sorted(set(df.approxQuantile(first, [i / parts for i in range(1, parts)], 0.5 / parts))) if parts > 1 else []
-    # a binary search over the literal bounds, not a scan: at most one bound for each range
-    at = F.lit(0)
-    if bounds:
-        table = spark.createDataFrame([(i + 1, lo, hi) for i, (lo, hi) in enumerate(zip(bounds, [*bounds[1:], float("inf")]))], "_range int, _lo double, _hi double")
-        df = df.join(F.broadcast(table), (F.col(first) >= F.col("_lo")) & (F.col(first) < F.col("_hi")), "left").drop("_lo", "_hi")
-        at = F.coalesce(F.col("_range"), F.lit(0))
-    df = df.withColumn("_range", at).withColumn("_size", size.cast("long"))
-    totals = df.groupBy("_range").agg(F.sum("_size").alias("_total"))
-    totals = totals.withColumn("_before", F.sum("_total").over(Window.orderBy("_range")) - F.col("_total")).drop("_total")
+    ranged = df.withColumn("_size", size.cast("long")).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("_upto", F.sum("_size").over(inside)).join(F.broadcast(totals), "_range")
-    return out.withColumn("_start", F.col("_before") + F.col("_upto") - F.col("_size")).drop("_range", "_upto", "_before", "_size")
+    summed = cut(ranged.withColumns({"_upto": F.sum("_size").over(inside), "_nth": F.row_number().over(inside).cast("long")}))
+    totals = summed.groupBy("_range").agg(F.max("_upto").alias("_total"), F.max("_nth").alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_ahead"))
+    out = summed.join(F.broadcast(totals), "_range")  # one row for each part of a shuffle
+    return out.withColumns({"_start": F.col("_before") + F.col("_upto") - F.col("_size"), "_nth": F.col("_ahead") + F.col("_nth")}).drop("_range", "_upto", "_before", "_ahead", "_size")
 
 
 def pack(
@@ -69,10 +59,11 @@ def pack(
     the end. The last, shorter chunk is dropped, or filled with end marks that
     form a sample of their own. ``limit`` takes the first rows in order.
     """
+    samples = df.select(*order, with_eos(F.col(ids_col), eos_id, add_eos, ensure_eos).alias("_ids"))
+    # the limit counts empty samples too
+    placed = positions(samples if limit else samples.where(F.size("_ids") > 0), F.size("_ids"), order)
     if limit:
-        df = df.orderBy(*order).limit(limit)
-    samples = df.select(*order, with_eos(F.col(ids_col), eos_id, add_eos, ensure_eos).alias("_ids")).where(F.size("_ids") > 0)
-    placed = positions(samples, F.size("_ids"), order)
+        placed = placed.where((F.col("_nth") <= limit) & (F.size("_ids") > 0))
     first, last = F.floor(F.col("_start") / seq_len), F.floor((F.col("_start") + F.size("_ids") - 1) / seq_len)
     parts = placed.select("_start", "_ids", F.explode(F.sequence(first, last)).alias("chunk_id"))
     begin = F.greatest(F.col("chunk_id") * seq_len, F.col("_start"))
@@ -97,22 +88,6 @@ def pack(
     return chunks.select(*out)
 
 
-def runs_of(seq_ids: list[int]) -> tuple[list[int], list[int], list[int]]:
-    """(local ids, lengths, offsets) of a list of sample ids; for an empty one [], [], [0]."""
-    local: list[int] = []
-    lengths: list[int] = []
-    for i, s in enumerate(seq_ids):
-        if i and s == seq_ids[i - 1]:
-            lengths[-1] += 1
-        else:
-            lengths.append(1)
-        local.append(len(lengths) - 1)
-    offsets = [0]
-    for n in lengths:
-        offsets.append(offsets[-1] + n)
-    return local, lengths, offsets
-
-
 def packing_summary(chunks: DataFrame) -> DataFrame:
     """One row: chunks, tokens and samples' parts."""
     chunks = cut(chunks.select(F.size("input_ids").alias("n"), F.size("seq_lens").alias("parts")))

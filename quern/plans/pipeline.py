@@ -148,9 +148,12 @@ def run_clustering(config: PipelineConfig, spark: SparkSession) -> dict:
     def work(df: DataFrame) -> DataFrame:
         c = dedup.Clustering(df, config.rows_per_band)
         facts.update(c.stats.first().asDict(), edge_sample=[tuple(r) for r in c.sample.collect()])
+        facts["_check"] = c.check
         return c.result
 
-    return _run("clustering", config, spark, work) | facts
+    out = _run("clustering", config, spark, work)
+    facts.pop("_check")(out["rows_out"])
+    return out | facts
 
 
 def run_train_tokenizer(config: PipelineConfig, spark: SparkSession) -> dict:
@@ -171,11 +174,9 @@ def run_tokenize(config: PipelineConfig, spark: SparkSession) -> dict:
     with open(config.spm_model or os.path.join(config.path("train_tokenizer"), "my_spm.model"), "rb") as f:
         model = f.read()
     eos = tokenize.eos_of(tokenize.load_sentencepiece(model))
-    df = tables.read_parquet(spark, config.source("tokenize"), columns=["doc_id", config.text_col])
-    # ids may be text: a hash gives the numeric order that the prefix sum needs
-    df = df.withColumn("_order", F.xxhash64("doc_id"))
+    df = tables.in_file_order(tables.read_parquet(spark, config.source("tokenize")), [config.text_col])
     tokens = tokenize.tokenised(df, tokenize.sentencepiece_encoder(model), config.text_col)
-    chunks = pack.pack(tokens, ["_order", "doc_id"], seq_len=config.seq_len, eos_id=eos, add_eos=config.add_eos, ensure_eos=config.ensure_eos, drop_remainder=config.drop_remainder, limit=config.limit)
+    chunks = pack.pack(tokens, ["_file", "_row"], seq_len=config.seq_len, eos_id=eos, add_eos=config.add_eos, ensure_eos=config.ensure_eos, drop_remainder=config.drop_remainder, limit=config.limit)
     drop = ([] if config.emit_seq_id else ["seq_id"]) + ([] if config.emit_seq_lens_offsets else ["seq_lens", "offsets"])
     tables.write_chunks(chunks.drop(*drop), config.path("tokenize"), config.seq_len, config.shard_chunks, config.compression)
     n = spark.read.parquet(config.path("tokenize")).count()

@@ -29,7 +29,12 @@ def read_parquet(spark: SparkSession, path: str, limit: int = 0, columns: list[s
     df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
-    return df.limit(limit) if limit else df
+    return in_file_order(df, df.columns).orderBy("_file", "_row").limit(limit).drop("_file", "_row") if limit else df
+
+
+def in_file_order(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(*columns, _file, _row): a Parquet scan with the place of every row, which orders files by path and rows as stored."""
+    return df.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def write_parquet(df: DataFrame, path: str) -> tuple[int, int]:

@@ -18,13 +18,27 @@ def stream(rows, eos, add=True, ensure=True):
     return out
 
 
+def runs_of(seq_ids: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """(local ids, lengths, offsets) of a list of sample ids; for an empty one [], [], [0]."""
+    local: list[int] = []
+    lengths: list[int] = []
+    for i, s in enumerate(seq_ids):
+        if i and s == seq_ids[i - 1]:
+            lengths[-1] += 1
+        else:
+            lengths.append(1)
+        local.append(len(lengths) - 1)
+    offsets = [0]
+    for n in lengths:
+        offsets.append(offsets[-1] + n)
+    return local, lengths, offsets
+
+
 @pytest.mark.parametrize(("drop", "ensure", "add"), [(True, True, True), (False, True, True), (False, False, True), (True, True, False)])
-def test_pack_same_as_stream(spark, drop, ensure, add, monkeypatch):
+def test_pack_same_as_stream(spark, drop, ensure, add):
     rng = random.Random(4)
     rows = [(i, [rng.randrange(3, 9) for _ in range(rng.choice([0, 1, 3, 7, 8, 9, 40]))] + ([2] if rng.random() < 0.3 else [])) for i in range(150)] + [(200, None)]
     df = spark.createDataFrame(rows, "doc_id long, input_ids array<int>")
-    pos = pack.positions
-    monkeypatch.setattr(pack, "positions", lambda d, s, o: pos(d, s, o, 40))
     got = sorted(pack.pack(df, ["doc_id"], seq_len=8, eos_id=2, add_eos=add, ensure_eos=ensure, drop_remainder=drop).collect())
     want = stream(rows, 2, add, ensure)
     n = len(want) // 8
@@ -32,7 +46,7 @@ def test_pack_same_as_stream(spark, drop, ensure, add, monkeypatch):
         part = want[c * 8 : c * 8 + 8]
         r = got[c]
         assert r.chunk_id == c and r.input_ids == [t for _, t in part]
-        assert (r.seq_id, r.seq_lens, r.offsets) == pack.runs_of([s for s, _ in part])
+        assert (r.seq_id, r.seq_lens, r.offsets) == runs_of([s for s, _ in part])
     rest = [t for _, t in want[n * 8 :]]
     if drop or not rest:
         assert len(got) == n
@@ -41,7 +55,11 @@ def test_pack_same_as_stream(spark, drop, ensure, add, monkeypatch):
 
 
 def test_runs_and_empty(spark):
-    assert pack.runs_of([]) == ([], [], [0]) and pack.runs_of([5, 5, 7]) == ([0, 0, 1], [2, 1], [0, 2, 3])
+    assert runs_of([]) == ([], [], [0]) and runs_of([5, 5, 7]) == ([0, 0, 1], [2, 1], [0, 2, 3])
+    df = spark.createDataFrame([("b", 1, [1, 2, 3]), ("a", 9, [4]), ("b", 0, []), ("a", 10, [5, 6])], "f string, n int, input_ids array<int>")
+    assert [r.input_ids for r in pack.pack(df, ["f", "n"], seq_len=2, add_eos=False).orderBy("chunk_id").collect()] == [[4, 5], [6, 1], [2, 3]]
+    assert [r.input_ids for r in pack.pack(df, ["f", "n"], seq_len=2, add_eos=False, limit=3).orderBy("chunk_id").collect()] == [[4, 5]]
+    assert "NestedLoop" not in pack.pack(df, ["f", "n"])._jdf.queryExecution().toString()
     assert pack.pack(spark.createDataFrame([], "doc_id long, input_ids array<int>"), ["doc_id"]).count() == 0
 
 
