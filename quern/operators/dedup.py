@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from quern.functions.dist import cut, salted_lookup
 from quern.functions.text import unsigned_text
 from quern.operators.graph import components
 
+log = logging.getLogger("quern")
+
 ROWS_PER_BAND = 4
 
 
@@ -18,10 +22,11 @@ def band_hash(values: Column) -> Column:
 
 
 def with_signature_column(df: DataFrame) -> DataFrame:
-    """Accept the older column name ``minhash_sig``; without either, an error."""
+    """Accept the older column name ``minhash_sig``, with a warning; without either, an error."""
     if "signature" in df.columns:
         return df
     if "minhash_sig" in df.columns:
+        log.warning("column minhash_sig is read as signature")
         return df.withColumnRenamed("minhash_sig", "signature")
     raise ValueError("no signature column")
 
@@ -78,16 +83,29 @@ def keep(df: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 class Clustering:
-    """The whole step: ``result``, ``stats`` (one row) and ``sample`` (the first 50 edges)."""
+    """The whole step: ``result``, ``stats`` (one row) and ``sample`` (the first 50 edges).
+
+    ``stats`` counts documents, kept and removed ones, the pairs that share a
+    bucket (a pair that shares several counts in each) and the distinct links.
+    """
 
     def __init__(self, df: DataFrame, rows_per_band: int = ROWS_PER_BAND, k: int = 128):
         df = with_signature_column(df)
         bands = band_rows(df, rows_per_band, k)
         self.edges = cut(edges(bands))
+        self.pairs = bucket_pairs(bands)
         self.members = cut(labelled(df, self.edges))
         self.kept = canonical(self.members)
         self.result = keep(df, self.kept)
         total = self.members.agg(F.countDistinct("doc_id").alias("total_docs"), F.countDistinct("component").alias("kept"))
         rate = F.when(F.col("total_docs") > 0, F.col("removed") / F.col("total_docs")).otherwise(F.lit(0.0))
-        self.stats = total.withColumn("removed", F.col("total_docs") - F.col("kept")).withColumn("dedup_rate", rate)
+        candidates = self.pairs.select(F.col("pairs").alias("total_candidate_pairs")).crossJoin(self.edges.agg(F.count(F.lit(1)).alias("links")))  # one row each
+        self.stats = total.withColumn("removed", F.col("total_docs") - F.col("kept")).withColumn("dedup_rate", rate).crossJoin(candidates)
         self.sample = self.edges.orderBy("u", "v").limit(50)
+
+    def check(self, rows_kept: int) -> bool:
+        """Whether the rows written are those of the kept documents; a warning if they are more, as ids repeat, or fewer."""
+        kept = self.kept.count()
+        if rows_kept != kept:
+            log.warning("%d rows were kept for %d kept documents", rows_kept, kept)
+        return rows_kept == kept

@@ -169,8 +169,8 @@ class QualityFilter:
         return at, np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
 
     def fit(self, labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> QualityFilter:
-        """Logistic regression on at most ``max_rows`` labelled rows; the positive label must occur."""
-        rows = labelled.select(flatten_space(F.col(text_col)).alias("t"), (F.col(label_col).cast("string") == self.pos_label).alias("y")).where("y is not null and t <> ''").limit(self.max_rows).toPandas()
+        """Logistic regression on at most ``max_rows`` labelled rows, by least hash of the text; the positive label must occur."""
+        rows = labelled.select(flatten_space(F.col(text_col)).alias("t"), (F.col(label_col).cast("string") == self.pos_label).alias("y")).where("y is not null and t <> ''").orderBy(F.xxhash64("t"), "t", "y").limit(self.max_rows).toPandas()
         y = rows["y"].to_numpy(dtype=float)
         if not y.any():
             raise ValueError(f"label {self.pos_label!r} does not occur")

@@ -21,14 +21,14 @@ VOCAB_SIZE, MAX_CHARS, COVERAGE, MAX_SENTENCES, MAX_SHARDS = 32_000, 5_000, 0.99
 BYTE_EOS = 256
 
 
-def corpus_lines(df: DataFrame, text_col: str = "text", max_chars: int = MAX_CHARS, limit: int = 0) -> DataFrame:
-    """(line): texts that are not blank, cut to ``max_chars``, one a line; all rows, none lost to even shards."""
+def corpus_lines(df: DataFrame, text_col: str = "text", max_chars: int = MAX_CHARS, limit: int = 0, keep: list[str] | None = None) -> DataFrame:
+    """(*keep, line): texts that are not blank, cut to ``max_chars``, one a line; all rows, none lost to even shards."""
     text = F.col(text_col)
     full = df.where(text.isNotNull() & (strip(text) != ""))
     if limit:
         full = full.limit(limit)
     line = strip(F.regexp_replace(F.substring(text, 1, max_chars), "\n", " "))
-    return full.select(line.alias("line")).where("line <> ''")
+    return full.select(*(keep or []), line.alias("line")).where("line <> ''")
 
 
 def write_shards(lines: DataFrame, path: str, shards: int = MAX_SHARDS) -> None:
@@ -78,7 +78,7 @@ def eos_of(processor) -> int:
     """The end mark's id, by the model or by one of its usual spellings."""
     if processor.eos_id() >= 0:
         return processor.eos_id()
-    for piece in ("</s>", "<eos>", "<EOS>"):
+    for piece in ("</s>", "<eos>", "<EOS>"):  # fixed values
         i = processor.piece_to_id(piece)
         if i >= 0 and i != processor.unk_id():
             return i

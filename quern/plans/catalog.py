@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import re
 import uuid
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.dist import ensure_checkpoint_dir
 from quern.functions.dist import read_table as table
-from quern.functions.text import document_id, flatten_space, fold, normalise, strip, unsigned_text
+from quern.functions.dist import shared_dir
+from quern.functions.text import flatten_space, fold, normalise, unsigned_text
 from quern.operators import clean, dedup, minhash, pack, pii, quality, tokenize
 from quern.operators.graph import components
 from quern.sources import wet
@@ -107,28 +104,16 @@ def dup_line_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT doc_id, source_path, sha1(coalesce(source_path, '') || chr(10) || coalesce(url, '') || chr(10) || coalesce(warc_date, '') || chr(10) || coalesce(doc_id, '')) AS new_id, length({_sql_normalise('text')}[1:200000]) AS n_chars FROM ingest_pages WHERE length({_sql_normalise('text')}) >= 200")
 def ingest_documents(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "ingest_pages").withColumn("text", normalise(F.col("text"))).where(F.length("text") >= 200)
-    new_id = document_id(F.col("source_path"), F.col("url"), F.col("warc_date"), F.col("doc_id"))
-    return pages.select("doc_id", "source_path", new_id.alias("new_id"), F.length(F.substring("text", 1, 200_000)).cast("long").alias("n_chars"))
+    pages = table(spark, d, "ingest_pages").withColumnRenamed("doc_id", "record_id")
+    return wet.as_documents(pages, wet.IngestRules(), ["record_id"]).select(F.col("record_id").alias("doc_id"), "source_path", F.col("doc_id").alias("new_id"), F.length("text").cast("long").alias("n_chars"))
 
 
 @query(f"SELECT {_sql_strip("regexp_replace(coalesce(url, ''), '[\\r\\n]+', ' ', 'g')")} AS url, {_sql_strip("regexp_replace(coalesce(warc_date, ''), '[\\r\\n]+', ' ', 'g')")} AS warc_date, sha1({_sql_normalise('text')}[1:200000]) AS text_sha1 FROM ingest_pages WHERE length({_sql_normalise('text')}) >= 200")
 def wet_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Pages written as web-archive files by the executors and read back."""
-    ensure_checkpoint_dir(spark)
-    root = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:").replace("///", "/").rstrip("/") + f"/wet-{uuid.uuid4().hex}"
-
-    def emit(batches):
-        os.makedirs(root, exist_ok=True)
-        for b in batches:
-            one = lambda x: re.sub("[\r\n]+", " ", x or "")
-            path = f"{root}/{uuid.uuid4().hex}.wet.gz"
-            wet.write_wet([("conversion", one(u), one(w), t or "") for u, w, t in zip(b["url"], b["warc_date"], b["text"])], path)
-            yield pd.DataFrame({"path": [path]})
-
-    # the list of files is what a task reports when it is done: leftovers of failed tasks are not read
-    written = table(spark, d, "ingest_pages").select("url", "warc_date", "text").mapInPandas(emit, "path string")
-    paths = sorted(r["path"] for r in written.collect())
+    """Pages written as web-archive files and read back, through any file system that Spark knows."""
+    root = f"{shared_dir(spark)}/wet-{uuid.uuid4().hex}"
+    wet.write_pages(table(spark, d, "ingest_pages"), root)
+    paths = wet.discover(root, "*.gz", spark=spark)
     return wet.read_wet(spark, paths).select("url", "warc_date", F.sha1("text").alias("text_sha1"))
 
 
@@ -260,7 +245,7 @@ def cluster_kept(spark: SparkSession, d: str) -> DataFrame:
     return dedup.Clustering(_signed(spark, d)).result.select("doc_id", F.coalesce("ts", F.lit(0).cast("long")).alias("ts"), F.coalesce("length", F.lit(0)).alias("length"))
 
 
-@query(_CLUSTERS + "SELECT count(DISTINCT doc_id) AS total_docs, count(DISTINCT component) AS kept, count(DISTINCT doc_id) - count(DISTINCT component) AS removed, round((count(DISTINCT doc_id) - count(DISTINCT component)) / count(DISTINCT doc_id)::DOUBLE, 9) AS dedup_rate FROM g")
+@query(_CLUSTERS + "SELECT count(DISTINCT doc_id) AS total_docs, count(DISTINCT component) AS kept, count(DISTINCT doc_id) - count(DISTINCT component) AS removed, round((count(DISTINCT doc_id) - count(DISTINCT component)) / count(DISTINCT doc_id)::DOUBLE, 9) AS dedup_rate, (SELECT coalesce(sum(n * (n - 1) // 2), 0)::BIGINT FROM (SELECT count(DISTINCT doc_id) AS n FROM bands GROUP BY band_id, band_hash)) AS total_candidate_pairs, (SELECT count(*) FROM links) AS links FROM g")
 def cluster_stats(spark: SparkSession, d: str) -> DataFrame:
     return dedup.Clustering(_signed(spark, d)).stats.withColumn("dedup_rate", F.round("dedup_rate", 9))
 
@@ -293,8 +278,7 @@ def unsigned_values(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT doc_id, {_sql_strip(r"regexp_replace(substring(text, 1, 5000), '\n', ' ', 'g')")} AS line FROM documents WHERE text IS NOT NULL AND {_sql_strip('text')} <> '' AND {_sql_strip(r"regexp_replace(substring(text, 1, 5000), '\n', ' ', 'g')")} <> ''")
 def corpus_lines(spark: SparkSession, d: str) -> DataFrame:
     """Training lines of at most 5,000 characters: the cut is the feature, it is the trainer's input format."""
-    line = strip(F.regexp_replace(F.substring("text", 1, tokenize.MAX_CHARS), "\n", " "))
-    return _documents(spark, d).where(F.col("text").isNotNull() & (strip(F.col("text")) != "")).select("doc_id", line.alias("line")).where("line <> ''")
+    return tokenize.corpus_lines(_documents(spark, d), keep=["doc_id"])
 
 
 @query("SELECT doc_id, coalesce(strlen(text), 0)::INTEGER AS length FROM documents")

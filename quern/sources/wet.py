@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import logging
 import os
 import re
 import zlib
@@ -16,8 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.dist import once
 from quern.functions.text import document_id, normalise
 
+log = logging.getLogger("quern")
+
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:/")
 SCHEMA = "doc_id string, url string, warc_date string, source_path string, text string"
 
 
@@ -29,12 +34,19 @@ class IngestRules:
     max_docs_per_file: int = 0
 
 
+def _exists(spark: SparkSession, directory: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def discover(directory: str, pattern: str = "*.wet.gz", max_files: int = 0, spark: SparkSession | None = None) -> list[str]:
     """Sorted paths below a directory whose file name matches and does not start with a dot; [] if there is none.
 
     A directory with a scheme (``hdfs://``, ``s3a://``) is listed by Spark.
     """
-    if "://" in directory:
+    if _SCHEME.match(directory):
+        if not _exists(spark, directory):
+            return []
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(directory)
         found = sorted(r["path"] for r in files.select("path").toLocalIterator() if not r["path"].rsplit("/", 1)[-1].startswith("."))
         return found[:max_files] if max_files else found
@@ -97,17 +109,34 @@ def read_wet(spark: SparkSession, paths: list[str], rules: IngestRules | None =
                                 out, size = [], 0
                             if r.max_docs_per_file and n >= r.max_docs_per_file:
                                 break
-                    except (EOFError, OSError, zlib.error):
-                        pass
+                    except (EOFError, gzip.BadGzipFile, zlib.error) as e:
+                        # what was read stays; a failing disk or network is an error, and the task runs again
+                        log.warning("%s is damaged after %d records: %s", path, n, e)
                 yield pd.DataFrame(out, columns=["url", "warc_date", "record_id", "source_path", "text"])
 
-    if any("://" in p for p in paths):
+    if any(_SCHEME.match(p) for p in paths):
         files = spark.read.format("binaryFile").load(paths).select("path", "content")
     else:
         files = spark.createDataFrame([(p, None) for p in paths], "path string, content binary")
-    raw = files.repartition(max(1, len(paths))).mapInPandas(scan, schema)
-    text = F.substring(normalise(F.col("text")), 1, r.max_chars)
-    return raw.select(document_id(F.col("source_path"), F.col("url"), F.col("warc_date"), F.col("record_id")).alias("doc_id"), "url", "warc_date", "source_path", text.alias("text"))
+    return as_documents(files.repartition(max(1, len(paths))).mapInPandas(scan, schema), r)
+
+
+def as_documents(records: DataFrame, rules: IngestRules, keep: list[str] | None = None) -> DataFrame:
+    """(*keep, doc_id, url, warc_date, source_path, text) of (url, warc_date, record_id, source_path, text).
+
+    Texts are normalised, those below ``min_chars`` dropped and longer ones cut to ``max_chars``.
+    """
+    tidy = once(records, text=normalise(F.col("text"))).where(F.length("text") >= rules.min_chars)
+    own = document_id(F.col("source_path"), F.col("url"), F.col("warc_date"), F.col("record_id"))
+    return tidy.select(*(keep or []), own.alias("doc_id"), "url", "warc_date", "source_path", F.substring("text", 1, rules.max_chars).alias("text"))
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """(url, warc_date, text) as web-archive files in a folder of any file system, a part of the rows in each file."""
+    one_line = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), "[\r\n]+", " ")
+    body = F.coalesce(F.col("text"), F.lit(""))
+    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: conversion\r\nWARC-Target-URI: "), one_line("url"), F.lit("\r\nWARC-Date: "), one_line("warc_date"), F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
+    pages.select(F.concat(head, body, F.lit("\r\n\r\n")).alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def write_wet(rows: list[tuple[str, str, str, str]], path: str) -> None:
