@@ -3,18 +3,26 @@
 Tokens are worked on by type: what a type contributes as the previous, current
 or next token is computed once and kept, so a batch of texts costs three gathers
 a token plus the chain itself. Sequences of a batch advance together, one step at
-a time, longest first, so a step is one contiguous block without padding.
+a time, longest first, so a step is one contiguous block without padding. A
+sequence longer than BLOCK tokens is worked on in blocks side by side, which
+changes no result: what enters and leaves each block is found first, from the
+blocks' transfer matrices.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 
 #: Token types that a worker keeps between batches.
 MOST_TYPES = 200_000
+#: Tokens of a sequence that are worked on one after the other.
+BLOCK = 256
 
 
 class Steps:
@@ -29,32 +37,51 @@ class Steps:
         self.bounds = np.concatenate([[0], np.cumsum(active)])
         heads = starts[order]
         self.index = np.concatenate([heads[:n] + t for t, n in enumerate(active)]) if longest else np.zeros(0, np.int64)
-        self.first = len(lengths)
+        self.order = order
         self.blocks = list(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist()))
         # token -> place in the layout
         self.place = np.empty(len(self.index), np.int64)
         self.place[self.index] = np.arange(len(self.index))
 
 
+def _rows(x: np.ndarray, steps: Steps) -> np.ndarray:
+    """Scores at the ends of sequences, one row for each in the layout's order; one row may stand for all."""
+    return np.broadcast_to(x, (len(steps.order), len(x))) if x.ndim == 1 else x[steps.order]
+
+
+def _best_moves(delta: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and label the best score over the label before, and that label."""
+    if len(delta) < 64:
+        reach = delta[:, None, :] + trans.T
+        at = reach.argmax(2)
+        return np.take_along_axis(reach, at[:, :, None], 2)[:, :, 0], at
+    best = delta[:, :1] + trans[0]
+    at = np.zeros(best.shape, np.int8)
+    for k in range(1, len(trans)):
+        x = delta[:, k : k + 1] + trans[k]
+        better = x > best
+        np.maximum(best, x, out=best)
+        at[better] = k
+    return best, at
+
+
 def viterbi(scores: np.ndarray, steps: Steps, trans: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The best label of every token; ``scores`` in token order."""
+    """The best label of every token; ``scores`` in token order, ``start`` and ``end`` for all sequences or each."""
     n, width = scores.shape
     e = scores[steps.index]
     back = np.zeros((n, width), np.int8)
     best = np.zeros(n, np.int8)
     if not n:
         return best
-    blocks, flip = steps.blocks, np.ascontiguousarray(trans.T)
+    blocks, start, end = steps.blocks, _rows(start, steps), _rows(end, steps)
     deltas = []
-    delta = e[slice(*blocks[0])] + start
+    delta = e[slice(*blocks[0])] + start[: blocks[0][1]]
     for t, (a, b) in enumerate(blocks):
         if t:
-            reach = delta[: b - a, None, :] + flip
-            at = reach.argmax(2)
-            back[a:b] = at
-            delta = np.take_along_axis(reach, at[:, :, None], 2)[:, :, 0] + e[a:b]
+            delta, back[a:b] = _best_moves(delta[: b - a], trans)
+            delta = delta + e[a:b]
         nxt = blocks[t + 1][1] - blocks[t + 1][0] if t + 1 < len(blocks) else 0
-        deltas.append((delta[nxt:] + end).argmax(1))  # sequences that end here
+        deltas.append((delta[nxt:] + end[nxt : b - a]).argmax(1))  # sequences that end here
     label = np.zeros(0, np.int8)
     for t in range(len(blocks) - 1, -1, -1):
         a, b = blocks[t]
@@ -78,16 +105,16 @@ def forward_backward(scores: np.ndarray, steps: Steps, trans: np.ndarray, start:
     e = np.exp(e - top)
     move = np.exp(trans).astype(e.dtype)
     blocks = steps.blocks
+    first, final = np.exp(_rows(start, steps)).astype(e.dtype), np.exp(_rows(end, steps)).astype(e.dtype)
     alpha = np.empty_like(e)
     scale = np.empty((n, 1), e.dtype)
     last = None
     for t, (a, b) in enumerate(blocks):
-        x = (np.exp(start).astype(e.dtype) if last is None else last[: b - a] @ move) * e[a:b]
+        x = (first[: b - a] if last is None else last[: b - a] @ move) * e[a:b]
         s = x.sum(1, keepdims=True)
         scale[a:b] = s
         last = x / s
         alpha[a:b] = last
-    final = np.exp(end).astype(e.dtype)
     beta = np.empty_like(e)
     expected = np.zeros((width, width))
     total = float(np.log(scale.astype(np.float64)).sum() + top.astype(np.float64).sum())
@@ -97,9 +124,9 @@ def forward_backward(scores: np.ndarray, steps: Steps, trans: np.ndarray, start:
         k = len(ahead)
         beta[a : a + k] = ahead @ move.T
         if b - a > k:
-            z = alpha[a + k : b] @ final
+            z = (alpha[a + k : b] * final[k : b - a]).sum(1)
             total += float(np.log(z.astype(np.float64)).sum())
-            beta[a + k : b] = final / z[:, None]
+            beta[a + k : b] = final[k : b - a] / z[:, None]
         if pairs and k:
             expected += alpha[a : a + k].T.astype(np.float64) @ ahead
         ahead = e[a:b] * beta[a:b] / scale[a:b]
@@ -108,6 +135,77 @@ def forward_backward(scores: np.ndarray, steps: Steps, trans: np.ndarray, start:
     return post[steps.place], total, expected * np.exp(trans)
 
 
+def _transfers(scores: np.ndarray, steps: Steps, trans: np.ndarray, best: bool) -> np.ndarray:
+    """For each sequence the scores from every label of its first token to every label of its last, emissions included.
+
+    The best path's score, or the logarithm of the paths' sum; each matrix up to a constant.
+    """
+    width = scores.shape[1]
+    e = scores[steps.index]
+    out = np.empty((len(steps.order), width, width), np.float64)
+    apart = np.where(np.eye(width, dtype=bool), 0.0, -1e9 if best else -np.inf)
+    move = trans.astype(np.float64) if best else np.exp(trans.astype(np.float64))
+    state = None
+    for t, (a, b) in enumerate(steps.blocks):
+        if state is None:
+            state = apart + e[a:b, None, :].astype(np.float64)
+            top = state.max((1, 2), keepdims=True)
+            state = state - top if best else np.exp(state - top)
+        else:
+            state = state[: b - a]
+            if best:
+                state = np.max(state[:, :, :, None] + move, axis=2) + e[a:b, None, :]
+                state -= state.max((1, 2), keepdims=True)
+            else:
+                state = (state @ move) * np.exp(e[a:b] - e[a:b].max(1, keepdims=True))[:, None, :]
+                state /= state.max((1, 2), keepdims=True)
+        nxt = steps.blocks[t + 1][1] - steps.blocks[t + 1][0] if t + 1 < len(steps.blocks) else 0
+        out[steps.order[nxt : b - a]] = state[nxt:] if best else np.log(np.maximum(state[nxt:], 1e-300))
+    return out
+
+
+def in_blocks(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray, end: np.ndarray, best: bool, block: int = BLOCK) -> tuple[Steps, np.ndarray, np.ndarray]:
+    """The sequences cut into blocks, with the scores that enter and leave each block: no result depends on the cuts."""
+    lengths = np.asarray(lengths, np.int64)
+    if lengths.max(initial=0) <= block:
+        return Steps(lengths), start, end
+    parts = -(-lengths // block)
+    owner = np.repeat(np.arange(len(lengths)), parts)
+    first = np.concatenate([[0], np.cumsum(parts)])
+    nth = np.arange(len(owner)) - first[owner]
+    sizes = np.minimum(block, lengths[owner] - nth * block)
+    enter = np.repeat(start[None, :], len(owner), 0).astype(np.float64)
+    leave = np.repeat(end[None, :], len(owner), 0).astype(np.float64)
+    several = np.flatnonzero(parts[owner] > 1)
+    ends = np.cumsum(sizes)
+    token = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in several])
+    matrix = dict(zip(several.tolist(), _transfers(scores[token], Steps(sizes[several]), trans, best)))
+
+    def join(x: np.ndarray, axis: int) -> np.ndarray:
+        top = x.max(axis, keepdims=True)
+        out = x.max(axis) if best else np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
+        return out - out.max()
+
+    for s in np.flatnonzero(parts > 1):
+        a, b = int(first[s]), int(first[s + 1])
+        for i in range(a + 1, b):
+            enter[i] = join(join(enter[i - 1][:, None] + matrix[i - 1], 0)[:, None] + trans, 0)
+        for i in range(b - 2, a - 1, -1):
+            leave[i] = join(trans + join(matrix[i + 1] + leave[i + 1][None, :], 1)[None, :], 1)
+    return Steps(sizes), enter, leave
+
+
+_models: dict[str, object] = {}
+
+
+def fitted(rows: object, fit: Callable[[], CRF]) -> CRF:
+    """A model fitted on ``rows`` in this process before, or now: equal rows give the same model."""
+    key = hashlib.sha256(json.dumps(rows, ensure_ascii=False).encode()).hexdigest()
+    if key not in _models:
+        _models[key] = fit()
+    return _models[key]
+
+
 def minimise(f: Callable, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
     """L-BFGS with backtracking; ``f`` returns value and gradient."""
     value, g = f(x)
@@ -141,7 +239,7 @@ def minimise(f: Callable, x: np.ndarray, rounds: int, memory: int = 8) -> np.nda
         s, y = nx - x, ng - g
         if s @ y > 1e-10:
             hist = [*hist, (s, y, 1.0 / (s @ y))][-memory:]
-        done = value - nv < 1e-5 * max(1.0, abs(value))
+        done = value - nv < 1e-6 * max(1.0, abs(value))
         x, value, g = nx, nv, ng
         if done:
             break
@@ -198,7 +296,7 @@ class CRF:
 
         def grouped(values: np.ndarray, how: tuple, n: int) -> np.ndarray:
             order, first, keys = how
-            out = np.zeros((n, width))
+            out = np.zeros((n, width), values.dtype)
             if len(first):
                 out[keys] = np.add.reduceat(values if order is None else values[order], first, axis=0)
             return out
@@ -213,7 +311,7 @@ class CRF:
             # features' gradients take the types in the features' order at once
             spread[k] = (len(counts), flat, groups(owner), owner if by_feature[0] is None else owner[by_feature[0]], (None, *by_feature[1:]), by_type)
         n_feat = len(vocabulary)
-        onehot = np.zeros((len(ids), width))
+        onehot = np.zeros((len(ids), width), np.float32)
         onehot[np.arange(len(ids)), y] = 1
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
         prev, cur = self._shifted(y + 1, lengths, -1, 0), y
@@ -228,19 +326,25 @@ class CRF:
 
         def loss(x):
             w, trans, start, end = unpack(x)
-            scores = np.zeros((len(ids), width))
-            for k in self.shifts:
+            scores, small = np.zeros((len(ids), width), np.float32), w.astype(np.float32)
+            def lent(k: int) -> np.ndarray:
                 n_types, flat, by_owner, *_ = spread[k]
-                scores += grouped(w[flat], by_owner, n_types)[context[k]]
+                return grouped(small[flat], by_owner, n_types)[context[k]]
+
+            for part in pool.map(lent, self.shifts):
+                scores += part
             post, total, expected = forward_backward(scores, steps, trans, start, end, pairs=True)
-            fit = scores[np.arange(len(ids)), y].sum() + (gold_pairs * trans).sum() + start[y[starts]].sum() + end[y[ends]].sum()
+            fit = scores[np.arange(len(ids)), y].sum(dtype=np.float64) + (gold_pairs * trans).sum() + start[y[starts]].sum() + end[y[ends]].sum()
             diff = post - onehot
             gw = np.zeros_like(w)
-            for k in self.shifts:
+            def owed(k: int) -> np.ndarray:
                 n_types, _, _, owner, by_feature, by_type = spread[k]
-                gw += grouped(grouped(diff, by_type, n_types)[owner], by_feature, n_feat)
-            gs = diff[starts].sum(0)
-            ge = diff[ends].sum(0)
+                return grouped(grouped(diff, by_type, n_types)[owner], by_feature, n_feat)
+
+            for part in pool.map(owed, self.shifts):
+                gw += part
+            gs = diff[starts].sum(0, dtype=np.float64)
+            ge = diff[ends].sum(0, dtype=np.float64)
             grad = np.concatenate([gw.ravel(), (expected - gold_pairs).ravel(), gs, ge]) + l2 * x
             return total - fit + 0.5 * l2 * (x @ x), grad
 
@@ -248,7 +352,7 @@ class CRF:
         if not keep.all():
             raise ValueError("sequences must not be empty")
         # a step of the line search may overshoot; what is not finite is refused
-        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"), ThreadPoolExecutor(len(self.shifts)) as pool:
             x = minimise(loss, np.zeros(n_feat * width + width * width + 2 * width), rounds)
         w, self.trans, self.start, self.end = (v.astype(np.float32) for v in unpack(x))
         strong = np.abs(w).max(1) > 1e-3
@@ -299,7 +403,11 @@ class CRF:
         return out
 
     def decode(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
-        return viterbi(self.scores(tokens, lengths), Steps(lengths), self.trans, self.start, self.end)
+        scores = self.scores(tokens, lengths)
+        steps, start, end = in_blocks(scores, lengths, self.trans, self.start, self.end, best=True)
+        return viterbi(scores, steps, self.trans, start, end)
 
     def posterior(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
-        return forward_backward(self.scores(tokens, lengths), Steps(lengths), self.trans, self.start, self.end)[0]
+        scores = self.scores(tokens, lengths)
+        steps, start, end = in_blocks(scores, lengths, self.trans, self.start, self.end, best=False)
+        return forward_backward(scores, steps, self.trans, start, end)[0]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.dist import spread
-from quern.llm.crf import CRF
+from quern.llm.crf import CRF, fitted
 from quern.llm.langlabels import LANGUAGES, language_of
 
 LABELS = (*LANGUAGES, "none")
@@ -30,7 +30,6 @@ LABELS = (*LANGUAGES, "none")
 #: common_words are fixed tables far below this).
 MAX_SAMPLES, MAX_WORDS = 5_000, 20_000
 SHARE = 0.2
-CUT = 300
 
 _TOKEN = re.compile(r"[㐀-鿿豈-﫿]+|[^\W\d_㐀-鿿豈-﫿]+|\d+|\n|[^\w\s]")
 _HAN_RUN = re.compile(r"[㐀-鿿豈-﫿]+")
@@ -170,14 +169,14 @@ def train(samples: DataFrame, common_words: DataFrame, seed: int = 5, rounds: in
     for r in words:
         for form in {r["word"], _strip_accents(r["word"])}:
             lexicon.setdefault(form, []).append(r["lang"])
-    features = Features({w: tuple(v) for w, v in lexicon.items()})
-    seqs, gold = training_sequences([(r["lang"], r["sample_text"]) for r in texts], seed)
-    return CRF(LABELS, features.own, features.near).fit(seqs, gold, rounds=rounds, least=1)
+    rows = [(r["lang"], r["sample_text"]) for r in texts]
 
+    def fit() -> CRF:
+        features = Features({w: tuple(v) for w, v in lexicon.items()})
+        seqs, gold = training_sequences(rows, seed)
+        return CRF(LABELS, features.own, features.near).fit(seqs, gold, rounds=rounds, least=1)
 
-def _cut(lengths: list[int]) -> np.ndarray:
-    """Sequences of at most CUT tokens; long texts are cut, never shortened."""
-    return np.array([min(CUT, n - i) for n in lengths for i in range(0, n, CUT)], np.int64)
+    return fitted(["langid", rows, lexicon, rounds, seed], fit)
 
 
 def _key(token: str) -> str:
@@ -187,8 +186,9 @@ def _key(token: str) -> str:
 
 
 def _label(model: CRF, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    flat = [_key(t) for ts in texts for t in ts]
-    return model.posterior(flat, _cut([len(ts) for ts in texts])), np.array([len(ts) for ts in texts], np.int64)
+    """(probabilities of each token's labels, tokens of each text); a text is one sequence, however long."""
+    lengths = np.array([len(ts) for ts in texts], np.int64)
+    return model.posterior([_key(t) for ts in texts for t in ts], lengths), lengths
 
 
 def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[slice]:

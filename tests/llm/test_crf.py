@@ -4,7 +4,7 @@ from itertools import product
 import numpy as np
 import pytest
 
-from quern.llm.crf import CRF, Steps, forward_backward, minimise, viterbi
+from quern.llm.crf import CRF, Steps, forward_backward, in_blocks, minimise, viterbi
 
 
 def brute(scores, trans, start, end):
@@ -52,3 +52,18 @@ def test_learns_and_travels():
     assert set(pickle.loads(pickle.dumps(model.vocabulary))) == set(again.vocabulary)
     assert model.posterior(tokens, lengths).sum(1) == pytest.approx(1)
     assert model.decode([], np.zeros(0, np.int64)).tolist() == []
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7])
+def test_blocks_change_nothing(block):
+    rng = np.random.default_rng(5)
+    lengths = np.array([5, 1, 40, 7, 8, 23, 2], np.int64)
+    scores = rng.normal(size=(lengths.sum(), 4)) * 2
+    trans, start, end = rng.normal(size=(4, 4)), rng.normal(size=4), rng.normal(size=4)
+    trans[1, 2] = start[3] = -1e4
+    whole = Steps(lengths)
+    steps, enter, leave = in_blocks(scores, lengths, trans, start, end, True, block)
+    assert viterbi(scores, steps, trans, enter, leave).tolist() == viterbi(scores, whole, trans, start, end).tolist()
+    trans[1, 2] = start[3] = -3
+    steps, enter, leave = in_blocks(scores, lengths, trans, start, end, False, block)
+    assert np.allclose(forward_backward(scores, steps, trans, enter, leave)[0], forward_backward(scores, whole, trans, start, end)[0])
