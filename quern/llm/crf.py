@@ -22,7 +22,9 @@ import numpy as np
 #: Token types that a worker keeps between batches.
 MOST_TYPES = 200_000
 #: Tokens of a sequence that are worked on one after the other.
-BLOCK = 256
+BLOCK = 1024
+#: Tokens whose scores are summed at once, few enough to stay in a core's cache.
+_STRIP = 2048
 
 
 class Steps:
@@ -44,53 +46,57 @@ class Steps:
         self.place[self.index] = np.arange(len(self.index))
 
 
+_NONE = np.zeros(0, np.int64)
+
+
 def _rows(x: np.ndarray, steps: Steps) -> np.ndarray:
     """Scores at the ends of sequences, one row for each in the layout's order; one row may stand for all."""
     return np.broadcast_to(x, (len(steps.order), len(x))) if x.ndim == 1 else x[steps.order]
 
 
 def _best_moves(delta: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row and label the best score over the label before, and that label."""
-    if len(delta) < 64:
-        reach = delta[:, None, :] + trans.T
+    """For each label (row) and sequence the best score over the label before, and that label."""
+    if delta.shape[1] < 48:
+        reach = delta.T[:, None, :] + trans.T
         at = reach.argmax(2)
-        return np.take_along_axis(reach, at[:, :, None], 2)[:, :, 0], at
-    best = delta[:, :1] + trans[0]
+        return np.take_along_axis(reach, at[:, :, None], 2)[:, :, 0].T, at.T
+    best = delta[0] + trans[0][:, None]
     at = np.zeros(best.shape, np.int8)
+    x, better = np.empty_like(best), np.empty(best.shape, bool)
     for k in range(1, len(trans)):
-        x = delta[:, k : k + 1] + trans[k]
-        better = x > best
+        np.add(delta[k], trans[k][:, None], out=x)
+        np.greater(x, best, out=better)
         np.maximum(best, x, out=best)
-        at[better] = k
+        np.putmask(at, better, k)
     return best, at
 
 
 def viterbi(scores: np.ndarray, steps: Steps, trans: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The best label of every token; ``scores`` in token order, ``start`` and ``end`` for all sequences or each."""
     n, width = scores.shape
-    e = scores[steps.index]
-    back = np.zeros((n, width), np.int8)
     best = np.zeros(n, np.int8)
     if not n:
         return best
-    blocks, start, end = steps.blocks, _rows(start, steps), _rows(end, steps)
-    deltas = []
-    delta = e[slice(*blocks[0])] + start[: blocks[0][1]]
+    # label-major: one label of all sequences lies together
+    e = np.ascontiguousarray(scores[steps.index].T)
+    back = np.zeros((width, n), np.int8)
+    blocks, start, end = steps.blocks, _rows(start, steps).T.astype(e.dtype), _rows(end, steps).T.astype(e.dtype)
+    last = []
+    delta = e[:, slice(*blocks[0])] + start[:, : blocks[0][1]]
     for t, (a, b) in enumerate(blocks):
         if t:
-            delta, back[a:b] = _best_moves(delta[: b - a], trans)
-            delta = delta + e[a:b]
+            delta, back[:, a:b] = _best_moves(delta[:, : b - a], trans)
+            delta = delta + e[:, a:b]
         nxt = blocks[t + 1][1] - blocks[t + 1][0] if t + 1 < len(blocks) else 0
-        deltas.append((delta[nxt:] + end[nxt : b - a]).argmax(1))  # sequences that end here
-    label = np.zeros(0, np.int8)
+        last.append((delta[:, nxt:] + end[:, nxt : b - a]).argmax(0) if nxt < b - a else _NONE)  # sequences that end here
+    label = _NONE
     for t in range(len(blocks) - 1, -1, -1):
         a, b = blocks[t]
         if t + 1 < len(blocks):
             c, d = blocks[t + 1]
-            carried = back[np.arange(c, d), label]
-        else:
-            carried = np.zeros(0, np.int8)
-        label = np.concatenate([carried, deltas[t].astype(np.int8)])
+            label = back[label, np.arange(c, d)]
+        if len(last[t]):
+            label = np.concatenate([label, last[t]])
         best[a:b] = label
     return best[steps.place]
 
@@ -154,7 +160,11 @@ def _transfers(scores: np.ndarray, steps: Steps, trans: np.ndarray, best: bool)
         else:
             state = state[: b - a]
             if best:
-                state = np.max(state[:, :, :, None] + move, axis=2) + e[a:b, None, :]
+                x = np.ascontiguousarray(state.reshape(-1, width).T)
+                top = x[0] + move[0][:, None]
+                for k in range(1, width):
+                    np.maximum(top, x[k] + move[k][:, None], out=top)
+                state = top.T.reshape(state.shape) + e[a:b, None, :]
                 state -= state.max((1, 2), keepdims=True)
             else:
                 state = (state @ move) * np.exp(e[a:b] - e[a:b].max(1, keepdims=True))[:, None, :]
@@ -387,27 +397,64 @@ class CRF:
         self.rows.append(row)
         return len(self.rows) - 1
 
-    def scores(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
-        """Label scores of all tokens of a batch."""
-        if len(self.types) > MOST_TYPES or not self.rows:
-            self._forget()
-            self._type("")
-        get, known = self.types.get, len(self.rows)
-        ids = np.array([i if (i := get(t)) is not None else self._type(t) for t in tokens], np.int64)
-        if self.table is None or len(self.rows) > known or len(self.table) != len(self.rows):
+    def index(self, key: Callable[[str], str] = str) -> Types:
+        """From raw tokens to rows of the model's table; ``key`` gives a token's type."""
+        return Types(self, key)
+
+    def scores(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Label scores of all tokens of a batch, given as rows of an index."""
+        if self.table is None or len(self.table) != len(self.rows):
             fresh = np.array(self.rows[0 if self.table is None else len(self.table) :], np.float32).reshape(-1, len(self.shifts), len(self.labels))
             self.table = fresh if self.table is None else np.concatenate([self.table, fresh])
-        out = self.table[ids, 0]
-        for i, k in enumerate(self.shifts[1:], 1):
-            out += self.table[self._shifted(ids, lengths, k, 0), i]
-        return out
-
-    def decode(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
-        scores = self.scores(tokens, lengths)
+        # ``reach`` edge tokens around every sequence, so that a neighbour is a plain shift
+        r, n = self.reach, len(ids)
+        place = np.arange(n) + r * (1 + np.repeat(np.arange(len(lengths)), lengths))
+        padded = np.zeros(n + r * (len(lengths) + 1), np.int64)
+        padded[place] = ids
+        out = np.empty((len(padded), len(self.labels)), np.float32)
+        for a in range(0, len(padded), _STRIP):
+            b = min(a + _STRIP, len(padded))
+            lo, hi = max(0, a - r), min(b + r, len(padded))
+            rows = self.table[padded[lo:hi]]
+            own = rows[a - lo : b - lo, 0].copy()
+            for i, k in enumerate(self.shifts[1:], 1):
+                x, y = max(a + k, 0), min(b + k, len(padded))
+                own[x - k - a : y - k - a] += rows[x - lo : y - lo, i]
+            out[a:b] = own
+        return out[place]
+
+    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        scores = self.scores(ids, lengths)
         steps, start, end = in_blocks(scores, lengths, self.trans, self.start, self.end, best=True)
         return viterbi(scores, steps, self.trans, start, end)
 
-    def posterior(self, tokens: list[str], lengths: np.ndarray) -> np.ndarray:
-        scores = self.scores(tokens, lengths)
+    def posterior(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        scores = self.scores(ids, lengths)
         steps, start, end = in_blocks(scores, lengths, self.trans, self.start, self.end, best=False)
         return forward_backward(scores, steps, self.trans, start, end)[0]
+
+
+class Types(dict):
+    """Rows of a model's table by raw token, kept from batch to batch as long as they are few."""
+
+    def __init__(self, model: CRF, key: Callable[[str], str]):
+        super().__init__()
+        self.model, self.key = model, key
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.model._forget()
+        self.model._type("")
+
+    def __missing__(self, raw: str) -> int:
+        key = self.key(raw)
+        row = self.model.types.get(key)
+        row = self[raw] = self.model._type(key) if row is None else row
+        return row
+
+    def rows(self, tokens: list[str]) -> np.ndarray:
+        """The rows of a batch's tokens."""
+        if len(self) > MOST_TYPES:
+            self._empty()
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.dist import spread
-from quern.llm.crf import CRF, fitted
+from quern.llm.crf import CRF, Types, fitted
 from quern.llm.langlabels import LANGUAGES, language_of
 
 LABELS = (*LANGUAGES, "none")
@@ -185,10 +185,10 @@ def _key(token: str) -> str:
     return "漢" if _HAN.match(c) else "0" if c.isdigit() else token
 
 
-def _label(model: CRF, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+def _label(types: Types, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """(probabilities of each token's labels, tokens of each text); a text is one sequence, however long."""
     lengths = np.array([len(ts) for ts in texts], np.int64)
-    return model.posterior([_key(t) for ts in texts for t in ts], lengths), lengths
+    return types.model.posterior(types.rows([t for ts in texts for t in ts]), lengths), lengths
 
 
 def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[slice]:
@@ -216,12 +216,12 @@ def languages(documents: DataFrame, model: CRF, share: float = SHARE) -> DataFra
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        crf = sent.value
+        types = sent.value.index(_key)
         for b in batches:
             texts = b["text"].tolist()
             for part in _parts(texts):
                 tokens = [tokens_of(t) for t in texts[part]]
-                post, lengths = _label(crf, tokens)
+                post, lengths = _label(types, tokens)
                 if not len(post):
                     continue
                 doc = np.repeat(np.arange(len(lengths)), lengths)
@@ -249,13 +249,13 @@ def segments(documents: DataFrame, model: CRF) -> DataFrame:
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        crf = sent.value
+        types = sent.value.index(_key)
         for b in batches:
             texts, ids = b["text"].tolist(), b["doc_id"].tolist()
             for part in _parts(texts):
                 spans = [[m.span() for m in _TOKEN.finditer(t)] for t in texts[part]]
                 tokens = [[t[a:e] for a, e in s] for t, s in zip(texts[part], spans)]
-                post, _ = _label(crf, tokens)
+                post, _ = _label(types, tokens)
                 out, at = [], 0
                 for doc_id, ts, ss in zip(ids[part], tokens, spans):
                     p = post[at : at + len(ts)]
