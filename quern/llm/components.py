@@ -1,14 +1,15 @@
 """Problem 4: one group identifier for every record that pairs link, directly or not.
 
-The graph is shrunk by three steps, repeated until no edge is left:
+The graph is shrunk by steps:
 
 1. strip vertices of degree one: each is hung under its only neighbour;
 2. compress chains of degree-two vertices: pointer doubling over the arcs of a
    chain (list ranking) finds both of its ends, one edge between the ends
    replaces the chain, and its vertices are hung under an end. A chain closed to
    a ring is hung under its smallest vertex;
-3. contract what is left, in which every vertex has three neighbours or more, by
-   hanging each vertex under its smallest neighbour.
+3. solve the core that is left: up to CORE_EDGES edges by union-find in one task;
+   of a larger one, whose vertices have three neighbours or more, each vertex is
+   hung under its smallest neighbour, and all begins again with what remains.
 
 All that was hung somewhere forms one forest whose depth is at most the number
 of steps; pointer doubling over that forest restores the labels.
@@ -16,16 +17,23 @@ of steps; pointer doubling over that forest restores the labels.
 Every vertex is described by one aggregate over its edges (degree, smallest and
 largest neighbour), which combines map-side, and edges and arcs are matched on
 both ends together, so a hub that has a third of all edges never lands in one
-task. Only the lookups by parent can meet a hot key; they are salted.
+task. Only the lookups by parent can meet a hot key; they are salted. Tables of
+earlier steps are deleted as soon as no later one reads them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import cut, salted_lookup
+from quern.functions.dist import cut, discard, salted_lookup
+
+#: Edges of a core that one task solves (two numbers each).
+CORE_EDGES = 1_000_000
 
 
 def _degrees(edges: DataFrame) -> DataFrame:
@@ -87,27 +95,61 @@ def _compress_chains(edges: DataFrame, deg: DataFrame) -> tuple[DataFrame, DataF
         now = step.agg(F.count(F.when(F.col("end"), 1)).alias("ended"), F.count(F.when(~F.col("end"), 1)).alias("open"), F.count(F.when(~F.col("end") & ~F.col("same"), 1)).alias("moving")).first()
         ended = step.where("end").drop("end", "same")
         done = ended if done is None else done.unionByName(ended)
+        discard(live)
         live = step.where("not end").drop("end", "same")
         if now["open"] == 0 or (now["ended"] == 0 and now["moving"] == 0):
             break
     # every chain vertex is entered by two arcs: their lists end at the chain's two ends
     ends = done.groupBy("w").agg(F.min("pw").alias("x"), F.max("pw").alias("y"))
     rings = live.groupBy(F.col("w").alias("node")).agg(F.min("low").alias("parent")).where("node <> parent")
-    hung = cut(ends.select(F.col("w").alias("node"), F.col("x").alias("parent")).unionByName(rings))
+    hung = ends.select(F.col("w").alias("node"), F.col("x").alias("parent")).unionByName(rings)
     bridges = ends.where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
     inner = two.select(F.explode(F.array(F.struct(*_edge("node", "lo")), F.struct(*_edge("node", "hi")))).alias("e")).select("e.u", "e.v").distinct()
     return edges.join(inner, ["u", "v"], "left_anti").unionByName(bridges).distinct(), hung
 
 
-def _resolve(forest: DataFrame, rounds: int | None = None) -> DataFrame:
+def _resolve(forest: DataFrame) -> DataFrame:
     """(node, parent) with every parent replaced by the root above it."""
     while True:
         up = forest.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         step = cut(salted_lookup(forest, "parent", up).select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")))
-        moved = step.where("moved").limit(1).count()
+        if not step.where("moved").limit(1).count():
+            return step.drop("moved")
         forest = step.drop("moved")
-        if not moved:
-            return forest
+
+
+def union_find(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, smallest node of each one's group)."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    above = list(range(len(nodes)))
+    for a, b in zip(at[: len(u)].tolist(), at[len(u) :].tolist()):
+        while above[a] != a:
+            above[a] = a = above[above[a]]
+        while above[b] != b:
+            above[b] = b = above[above[b]]
+        if a < b:
+            above[b] = a
+        elif b < a:
+            above[a] = b
+    root = np.array(above, np.int64)
+    while True:
+        up = root[root]
+        if np.array_equal(up, root):
+            return nodes, nodes[root]
+        root = up
+
+
+def _solve(edges: DataFrame) -> DataFrame:
+    """(node, parent): a core of at most CORE_EDGES edges hung under its groups' smallest vertices."""
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [(b["u"].to_numpy(), b["v"].to_numpy()) for b in batches]
+        if parts:
+            nodes, root = union_find(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+            yield pd.DataFrame({"node": nodes, "parent": root})[nodes != root]
+
+    kind = dict(edges.dtypes)["u"]
+    return edges.select("u", "v").coalesce(1).mapInPandas(solve, f"node {kind}, parent {kind}")
 
 
 def _contract(edges: DataFrame, deg: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -129,19 +171,28 @@ def connected_groups(pairs: DataFrame, u: str = "u", v: str = "v", node: str = "
     """
     filled = pairs.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u is not null and v is not null")
     rows = cut(filled.select(*_edge("u", "v")).distinct())
-    edges = rows.where("u <> v")
-    forest = None
+    edges, forest, own = rows.where("u <> v"), None, None
     while True:
         for step in (_strip_leaves, _compress_chains, _contract):
-            deg = _degrees(edges).persist(StorageLevel.DISK_ONLY)
-            some = deg.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("deg") == 1, 1)).alias("one"), F.count(F.when(F.col("deg") == 2, 1)).alias("two")).first()
-            if some["n"] and (step is _contract or some["one" if step is _strip_leaves else "two"]):
-                edges, hung = step(edges, deg)
-                edges, hung = cut(edges), cut(hung)
-                forest = hung if forest is None else forest.unionByName(hung)
-            deg.unpersist()
+            deg = cut(_degrees(edges))
+            some = deg.agg(F.count(F.lit(1)).alias("n"), F.sum("deg").alias("ends"), F.count(F.when(F.col("deg") == 1, 1)).alias("one"), F.count(F.when(F.col("deg") == 2, 1)).alias("two")).first()
             if not some["n"]:
                 break
+            if step is _contract and some["ends"] <= 2 * CORE_EDGES:
+                hung = cut(_solve(edges))
+                edges = None
+            elif step is _contract or some["one" if step is _strip_leaves else "two"]:
+                left, hung = step(edges, deg)
+                left, hung = cut(left), cut(hung)
+                discard(own)
+                edges = own = left
+            else:
+                discard(deg)
+                continue
+            forest = hung if forest is None else forest.unionByName(hung)
+            discard(deg)
+            if edges is None:
+                break
         else:
             continue
         break

@@ -40,8 +40,10 @@ def cases():
     return star + path + ring + dense + dirty + lollipop, sparse + dirty, [], [(None, 1)], [(-3, 4), (4, -3)]
 
 
+@pytest.mark.parametrize("core", [1_000_000, 0])
 @pytest.mark.parametrize("pairs", cases(), ids=range(len(cases())))
-def test_same_as_union_find(spark, pairs):
+def test_same_as_union_find(spark, pairs, core, monkeypatch):
+    monkeypatch.setattr("quern.llm.components.CORE_EDGES", core)
     assert groups(spark, pairs) == union_find(pairs)
 
 
