@@ -15,7 +15,7 @@ from quern.llm.mixing import Mixture
 from quern.llm.packing import pack_items, packed_sequences, packing_report
 from quern.llm.repetition import ablations, fails, ledger
 from quern.llm.spans import passages, shared_share, sharing_documents
-from quern.llm.survivor import survivors
+from quern.llm.survivor import chosen_bundles, survivors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,10 @@ def p7_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors(table(spark, d, "minhash_docs"), connected_groups(table(spark, d, "dup_edges")))
 
 
+def p7_bundles(spark: SparkSession, d: str) -> DataFrame:
+    return chosen_bundles(p7_survivors(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_survivors(spark, d).select("group_id", "doc_id")
 

@@ -1,20 +1,29 @@
 """Problem 7: one surviving record for each group of versions, its gaps filled whole bundles first.
 
-The survivor is the record with the largest (ts, length, doc_id). Its empty
-fields are filled from other records of the group: fields that depend on each
-other (an address and the date it was fetched) form a bundle that is taken from
-one record, which agrees with what the survivor has of it. Only where no record
-of the group has such a whole bundle are its empty fields filled one by one, from
-records that do not contradict the survivor's part of the bundle first. Which
-bundles and fields to take is an optimisation for each group: the number of
-filled fields, then the agreement, then the sum of the trust is to be largest
-under functional dependencies between fields of different bundles (one url has
-one language). It is solved by branch and bound:
-
-* the bounding runs distributed, over candidates that were first folded to
-  distinct values (map-side): a candidate whose score plus the best scores of all
-  other parts stays below the best that a single record offers is cut off;
-* the few candidates that are left meet in one small branch-and-bound search per
+What is chosen for a group are bundles, each whole from one record: first the
+identity (doc_id, ts, length), then bundles of fields that depend on each other
+(an address and the date it was fetched). Trust of an identity is its (ts, length,
+doc_id), and it outweighs everything else. The survivor's own fields are kept and
+only its empty ones filled, by a bundle that agrees with what the survivor has of
+it; where no record of the group has such a whole bundle, its empty fields are
+filled one by one, from records that do not contradict the survivor's part of the
+bundle first. What is to be largest is the identity, then the number of filled
+fields, then the agreement, then the sum of the trust, under functional
+dependencies between fields of different bundles (one url has one language). It is
+solved by branch and bound:
+
+* the bounding runs distributed. No two identities are worth the same, so their
+  bound, a maximum, leaves one for each group and the search begins below it. For
+  the other bundles, records are first folded to distinct values (map-side), and
+  a candidate whose score plus the best scores of all other parts stays below the
+  best that a single record offers is cut off; of candidates that no dependency
+  tells apart the best stays;
+* with one dependency, each determinant's score plus that of the best dependent
+  value seen beside it is an exact bound: one determinant a group stays, and at most
+  two dependent values, the best and the best beside it. No group is ever larger
+  than that for the task that solves it. With several dependencies the candidates
+  that the first bound leaves go to one task a group;
+* the candidates that are left meet in one small branch-and-bound search per
   group, for which the choices within a single record are the incumbent.
 """
 
@@ -81,13 +90,14 @@ def survivors(
     bundles: tuple[tuple[str, ...], ...] = BUNDLES,
     dependencies: tuple[tuple[str, str], ...] = DEPENDENCIES,
 ) -> DataFrame:
-    """(group_id, doc_id, ts, length, *fields, filled): one row for each group of two or more ids with a record.
+    """(group_id, doc_id, ts, length, *fields, filled, *fields_from): one row for each group of two or more ids with a record.
 
     ``groups`` has (node_id, group_id). Records that are in no such group, or
     whose doc_id is null, have no row. Equal records are one candidate; between
     records that tie in (ts, length, doc_id) the one whose fields come last in
     order wins, so the result is the same in every run. ``filled`` names the
-    fields that came from other records. The survivor's own values are kept; a
+    fields that came from other records, and ``url_from`` and the like the doc_id
+    of the record a field was taken from. The survivor's own values are kept; a
     field stays null only if no record of the group has it.
     """
     fields = [f for b in bundles for f in b]
@@ -104,7 +114,7 @@ def survivors(
     open_base = base.where(F.array_contains(gap, True)).select("group_id", *[F.col(f).alias(f"_b_{f}") for f in fields])
     # trust of a record: the more complete, then the more recent, the better
     trust = sum((F.col(f).isNotNull().cast("long") for f in fields), F.lit(0)) * F.lit(1 << 38) + F.least(F.col("ts"), F.lit((1 << 38) - 1))
-    versions = members.withColumn("_t", trust).groupBy("group_id", *fields).agg(F.max("_t").alias("_t"))
+    versions = members.withColumn("_t", trust).groupBy("group_id", *fields).agg(F.max(F.struct("_t", "doc_id")).alias("_v")).select("group_id", *fields, "_v._t", F.col("_v.doc_id").alias("_src"))
     seen = salted_lookup(versions, "group_id", open_base, "inner")
 
     # parts to fill: every bundle as a whole and, for groups where no record has it whole, each of its fields
@@ -158,32 +168,42 @@ def survivors(
     )
     marked = salted_lookup(seen, "group_id", bound, "inner")
     total = sum((F.col(f"_m{p}") for p in range(len(parts))), F.lit(0))
+    linked = {f for d in dependencies for f in d}
     kinds = []
     for p, (_, b) in enumerate(parts):
         near = F.col(f"_s{p}") + total - F.col(f"_m{p}") >= F.col("_single")
-        kinds.append(F.when(near, F.struct(F.lit(p).alias("part"), F.to_json(F.struct(*b)).alias("value"), F.col(f"_s{p}").alias("score"))))
+        # candidates that no dependency tells apart have one key
+        key = F.to_json(F.struct(*[f for f in b if f in linked])) if linked & set(b) else F.lit("")
+        kinds.append(F.when(near, F.struct(F.lit(p).alias("part"), key.alias("key"), F.to_json(F.struct(*b)).alias("value"), F.col(f"_s{p}").alias("score"), F.col("_src").alias("src"))))
     # (determinant, dependent) pairs seen in the group; only those between candidates matter below
     for k, (x, y) in enumerate(dependencies):
-        kinds.append(F.when(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(f"_b_{x}").isNull(), F.struct(F.lit(-1 - k).alias("part"), F.to_json(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).alias("value"), F.col("_t").alias("score"))))
-    rows = marked.select("group_id", F.explode(F.filter(F.array(*kinds), lambda x: x.isNotNull())).alias("c")).groupBy("group_id", "c.part", "c.value").agg(F.max("c.score").alias("score"))
+        pair = F.to_json(F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
+        kinds.append(F.when(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(f"_b_{x}").isNull(), F.struct(F.lit(-1 - k).alias("part"), pair.alias("key"), pair.alias("value"), F.col("_t").alias("score"), F.col("_src").alias("src"))))
+    rows = marked.select("group_id", F.explode(F.filter(F.array(*kinds), lambda x: x.isNotNull())).alias("c")).groupBy("group_id", "c.part", "c.key").agg(F.max(F.struct("c.score", "c.value", "c.src")).alias("c")).select("group_id", "part", "c.*")
     rows = cut(rows)
-    # a pair is of use only if its determinant is that of a candidate that is left
-    pairs = rows.where("part < 0")
-    det = None
-    for k, (x, _) in enumerate(dependencies):
-        part = rows.where(F.col("part").isin([p for p, (_, b) in enumerate(parts) if x in b])).select("group_id", F.lit(-1 - k).alias("part"), F.get_json_object("value", f"$.{x}").alias("x"))
-        det = part if det is None else det.unionByName(part)
-    if det is not None:
-        pairs = pairs.withColumn("x", F.get_json_object("value", "$.x")).join(det.distinct(), ["group_id", "part", "x"], "left_semi").select("group_id", "part", "value", "score")
-    candidates = rows.where("part >= 0").unionByName(pairs)
+
+    def having(field: str) -> list[int]:
+        return [p for p, (_, b) in enumerate(parts) if field in b]
+
+    pairs = rows.where("part < 0").withColumns({"x": F.get_json_object("value", "$.x"), "y": F.get_json_object("value", "$.y")})
+    chosen = rows.where("part >= 0")
+    if len(dependencies) == 1 and not set(having(dependencies[0][0])) & set(having(dependencies[0][1])):
+        chosen, pairs = _bounded(chosen, pairs, dependencies[0], having)
+    elif dependencies:
+        det = reduce(DataFrame.unionByName, [chosen.where(F.col("part").isin(having(x))).select("group_id", F.lit(-1 - k).alias("part"), F.get_json_object("value", f"$.{x}").alias("x")) for k, (x, _) in enumerate(dependencies)])
+        pairs = pairs.join(det.distinct(), ["group_id", "part", "x"], "left_semi")
+    columns = ["group_id", "part", "value", "score", "src"]
+    candidates = chosen.select(*columns).unionByName(pairs.select(*columns))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         options: list[list[tuple[int, dict]]] = [[] for _ in parts]
         pairs: dict[tuple[str, str], dict[str, set]] = {d: {} for d in dependencies}
-        for part, value, score in zip(pdf["part"], pdf["value"], pdf["score"]):
+        sources: dict[tuple[str, str], int] = {}
+        for part, value, score, src in zip(pdf["part"], pdf["value"], pdf["score"], pdf["src"]):
             v = json.loads(value)
             if part >= 0:
                 options[part].append((int(score), v))
+                sources |= {item: src for item in v.items()}
             else:
                 pairs[dependencies[-1 - part]].setdefault(v["x"], set()).add(v["y"])
         for o in options:
@@ -195,10 +215,45 @@ def survivors(
 
         _, chosen = branch_and_bound(options, allowed)
         got = {k: v for c in chosen for k, v in c.items()}
-        return pd.DataFrame([{"group_id": pdf["group_id"].iloc[0], **{f"_f_{f}": got.get(f) for f in fields}}])
+        row = {f"_f_{f}": got.get(f) for f in fields} | {f"_from_{f}": sources.get((f, got.get(f))) for f in fields}
+        return pd.DataFrame([{"group_id": pdf["group_id"].iloc[0], **row}]).astype({f"_from_{f}": "Int64" for f in fields} if doc_kind in ("bigint", "int") else {})
 
-    kind = dict(groups.dtypes)["group_id"]
-    fills = candidates.groupBy("group_id").applyInPandas(solve, ", ".join([f"group_id {kind}", *[f"_f_{f} string" for f in fields]]))
+    kind, doc_kind = dict(groups.dtypes)["group_id"], dict(records.dtypes)["doc_id"]
+    fills = candidates.groupBy("group_id").applyInPandas(solve, ", ".join([f"group_id {kind}", *[f"_f_{f} string" for f in fields], *[f"_from_{f} {doc_kind}" for f in fields]]))
     out = base.join(fills, "group_id", "left")
     filled = F.concat_ws(",", *[F.when(F.col(f).isNull() & F.col(f"_f_{f}").isNotNull(), F.lit(f)) for f in fields])
-    return out.select("group_id", "doc_id", "ts", "length", *[F.coalesce(f, f"_f_{f}").alias(f) for f in fields], filled.alias("filled"))
+    sources = [F.when(F.col(f).isNotNull(), F.col("doc_id")).otherwise(F.col(f"_from_{f}")).alias(f"{f}_from") for f in fields]
+    return out.select("group_id", "doc_id", "ts", "length", *[F.coalesce(f, f"_f_{f}").alias(f) for f in fields], filled.alias("filled"), *sources)
+
+
+def _bounded(chosen: DataFrame, pairs: DataFrame, dependency: tuple[str, str], having) -> tuple[DataFrame, DataFrame]:
+    """The candidates and pairs that can be in a best choice: one determinant for each group, at most two dependent values."""
+    x, y = dependency
+    dets = chosen.where(F.col("part").isin(having(x))).withColumn("x", F.get_json_object("value", f"$.{x}"))
+    deps = chosen.where(F.col("part").isin(having(y))).withColumn("y", F.get_json_object("value", f"$.{y}"))
+    rest = chosen.where(~F.col("part").isin([*having(x), *having(y)]))
+    # the best dependent value beside each determinant; -1 where it has some, but no candidate
+    dep = F.struct("score", "part", "value", "src", "y")
+    by_pair = deps.select(F.struct("group_id", "y").alias("_key"), dep.alias("_d"))
+    met = salted_lookup(pairs.select(F.struct("group_id", "y").alias("_key"), "group_id", "x", F.col("y").alias("_y")), "_key", by_pair)
+    beside = met.groupBy("group_id", "x").agg(F.max("_d").alias("_best"), F.min("_y").alias("_some"))
+    top = cut(deps.groupBy("group_id").agg(F.max(dep).alias("_top")))
+    judged = salted_lookup(dets.join(beside, ["group_id", "x"], "left"), "group_id", top)
+    with_dep = F.when(F.col("_some").isNotNull(), F.coalesce(F.col("_best.score"), F.lit(0))).otherwise(F.coalesce(F.col("_top.score"), F.lit(0)))
+    best = judged.groupBy("group_id").agg(F.max(F.struct((F.col("score") + with_dep).alias("bound"), "score", "part", "value", "src", "x", "_best", "_some")).alias("_x")).select("group_id", "_x.*")
+    best = cut(best)
+    columns = ["group_id", "part", "value", "score", "src"]
+    second = best.where("_best is not null").select("group_id", "_best.part", "_best.value", "_best.score", "_best.src")
+    kept = rest.select(*columns).unionByName(best.select(*columns)).unionByName(top.select("group_id", "_top.part", "_top.value", "_top.score", "_top.src")).unionByName(second)
+    # the pairs of the determinant that tell the two values apart
+    one = F.to_json(F.struct("x", F.col("_y").alias("y")))
+    ys = best.where("_some is not null").select("group_id", "x", F.explode(F.array_distinct(F.array("_some", F.coalesce("_best.y", "_some")))).alias("_y"))
+    # the overall best value is allowed only if it is beside the determinant, and then it is the best beside it
+    left = ys.select("group_id", F.lit(-1).alias("part"), one.alias("value"), F.lit(0).cast("long").alias("score"), F.lit(None).alias("src"))
+    return kept.distinct(), left
+
+
+def chosen_bundles(survived: DataFrame, bundles: tuple[tuple[str, ...], ...] = BUNDLES) -> DataFrame:
+    """(group_id, bundle, field, value, source_doc_id): where every field of a survivor comes from; fields without a value have no row."""
+    rows = [F.struct(F.lit("+".join(b)).alias("bundle"), F.lit(f).alias("field"), F.col(f).alias("value"), F.col(f"{f}_from").alias("source_doc_id")) for b in bundles for f in b]
+    return survived.select("group_id", F.explode(F.array(*rows)).alias("r")).select("group_id", "r.*").where("value is not null")

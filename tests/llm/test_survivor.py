@@ -2,7 +2,7 @@ import random
 from itertools import product
 
 from quern.llm.components import connected_groups
-from quern.llm.survivor import branch_and_bound, survivors
+from quern.llm.survivor import branch_and_bound, chosen_bundles, survivors
 
 SCHEMA = "doc_id long, ts long, length int, url string, lang string, warc_date string, group_id string, signature array<long>"
 
@@ -94,3 +94,55 @@ def test_null_only_where_the_group_has_nothing(spark):
             values = {x[i] for x in group} - {None}
             assert r[f] == own[i] if own[i] else r[f] in (values or {None})
             assert (f in r.filled.split(",")) == (own[i] is None and bool(values))
+
+
+def hidden_trust(r):
+    return sum(x is not None for x in r[3:6]) * (1 << 38) + r[1]
+
+
+def test_best_url_and_language_same_as_exhaustive_search(spark):
+    """Survivors with nothing but a time; no record has a date, so url and language are chosen under the dependency alone."""
+    rng = random.Random(11)
+    pick = lambda *x: rng.choice([None, *x])
+    records, groups = [], {}
+    for g in range(0, 400, 10):
+        rows = [(g, 1000, 1, None, None, None, "g", None)] + [(g + i, rng.randrange(1, 900), 1, pick("a", "b", "c", "d"), pick("en", "de", "fr"), None, "g", None) for i in range(1, rng.randrange(2, 10))]
+        groups[g] = rows
+        records += rows
+    survived = survivors(spark.createDataFrame([(a, b, c, d, f, e, h, i) for a, b, c, d, e, f, h, i in records], "doc_id long, ts long, length int, url string, warc_date string, lang string, group_id string, signature array<long>"), connected_groups(spark.createDataFrame([(r[0], g) for g, rs in groups.items() for r in rs if r[0] != g], "u long, v long")))
+    got = {r.group_id: r for r in survived.collect()}
+    assert set(got) == set(groups)
+    for g, rows in groups.items():
+        best = {f: {} for f in (3, 4)}
+        for r in rows[1:]:
+            for f in (3, 4):
+                if r[f]:
+                    best[f][r[f]] = max(best[f].get(r[f], 0), hidden_trust(r))
+        beside = {}
+        for r in rows[1:]:
+            if r[3] and r[4]:
+                beside.setdefault(r[3], set()).add(r[4])
+        worth = lambda u, x: best[3].get(u, 0) + best[4].get(x, 0)
+        allowed = [(u, x) for u in (best[3] or {None: 0}) for x in (best[4] or {None: 0}) if u not in beside or x in beside[u]]
+        r = got[g]
+        assert r.doc_id == g and (r.url, r.lang) in allowed and worth(r.url, r.lang) == max(worth(u, x) for u, x in allowed), (rows, r)
+        for f, i in (("url", 3), ("lang", 4)):
+            assert r[f] is None or any(x[0] == r[f"{f}_from"] and x[i] == r[f] and hidden_trust(x) == best[i][r[f]] for x in rows)
+    told = {(r.group_id, r.field): (r.value, r.source_doc_id, r.bundle) for r in chosen_bundles(survived).collect()}
+    assert all(told.get((g, "url")) == (None if r.url is None else (r.url, r.url_from, "url+warc_date")) for g, r in got.items())
+
+
+def test_two_dependencies(spark):
+    rng = random.Random(12)
+    pick = lambda *x: rng.choice([None, *x])
+    records = [(i, rng.randrange(9), 1, pick("a", "b"), pick("en", "de"), pick("1", "2"), "g", None) for i in range(120)]
+    groups = connected_groups(spark.createDataFrame([(i, i - i % 4) for i in range(120)], "u long, v long"))
+    df = spark.createDataFrame(records, SCHEMA)
+    rows = survivors(df, groups, (("url",), ("lang",), ("warc_date",)), (("url", "lang"), ("lang", "warc_date"))).collect()
+    assert len(rows) == 30
+    for r in rows:
+        group = records[r.group_id : r.group_id + 4]
+        for a, b, i, j in ((r.url, r.lang, 3, 4), (r.lang, r.warc_date, 4, 5)):
+            seen = {x[j] for x in group if a and x[i] == a and x[j]}
+            own = next(x for x in group if x[0] == r.doc_id)
+            assert not (seen and b) or b in seen or own[j]  # what the survivor has itself stays
