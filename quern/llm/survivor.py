@@ -30,11 +30,14 @@ solved by branch and bound:
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quern.functions.dist import cut, salted_lookup
 
@@ -195,14 +198,14 @@ def survivors(
     columns = ["group_id", "part", "value", "score", "src"]
     candidates = chosen.select(*columns).unionByName(pairs.select(*columns))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+    def solve(group_id, rows: list[tuple[int, str, int, object]]) -> tuple:
         options: list[list[tuple[int, dict]]] = [[] for _ in parts]
         pairs: dict[tuple[str, str], dict[str, set]] = {d: {} for d in dependencies}
-        sources: dict[tuple[str, str], int] = {}
-        for part, value, score, src in zip(pdf["part"], pdf["value"], pdf["score"], pdf["src"]):
+        sources: dict[tuple[str, str], object] = {}
+        for part, value, score, src in rows:
             v = json.loads(value)
             if part >= 0:
-                options[part].append((int(score), v))
+                options[part].append((score, v))
                 sources |= {item: src for item in v.items()}
             else:
                 pairs[dependencies[-1 - part]].setdefault(v["x"], set()).add(v["y"])
@@ -215,11 +218,28 @@ def survivors(
 
         _, chosen = branch_and_bound(options, allowed)
         got = {k: v for c in chosen for k, v in c.items()}
-        row = {f"_f_{f}": got.get(f) for f in fields} | {f"_from_{f}": sources.get((f, got.get(f))) for f in fields}
-        return pd.DataFrame([{"group_id": pdf["group_id"].iloc[0], **row}]).astype({f"_from_{f}": "Int64" for f in fields} if doc_kind in ("bigint", "int") else {})
-
-    kind, doc_kind = dict(groups.dtypes)["group_id"], dict(records.dtypes)["doc_id"]
-    fills = candidates.groupBy("group_id").applyInPandas(solve, ", ".join([f"group_id {kind}", *[f"_f_{f} string" for f in fields], *[f"_from_{f} {doc_kind}" for f in fields]]))
+        return (group_id, *[got.get(f) for f in fields], *[sources.get((f, got.get(f))) for f in fields])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the rows of a group follow each other
+        held, group, out = None, [], []
+        for b in batches:
+            for group_id, *row in zip(*(b.column(c).to_pylist() for c in ("group_id", "part", "value", "score", "src"))):
+                if group and group_id != held:
+                    out.append(solve(held, group))
+                    group = []
+                held = group_id
+                group.append(row)
+            if out:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], shape)
+                out = []
+        if group:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, solve(held, group)))], shape)
+
+    names = ["group_id", *[f"_f_{f}" for f in fields], *[f"_from_{f}" for f in fields]]
+    schema = StructType([StructField("group_id", groups.schema["group_id"].dataType), *[StructField(f"_f_{f}", StringType()) for f in fields], *[StructField(f"_from_{f}", records.schema["doc_id"].dataType) for f in fields]])
+    shape = to_arrow_schema(schema)
+    fills = candidates.repartition("group_id").sortWithinPartitions("group_id").mapInArrow(search, schema)
     out = base.join(fills, "group_id", "left")
     filled = F.concat_ws(",", *[F.when(F.col(f).isNull() & F.col(f"_f_{f}").isNotNull(), F.lit(f)) for f in fields])
     sources = [F.when(F.col(f).isNotNull(), F.col("doc_id")).otherwise(F.col(f"_from_{f}")).alias(f"{f}_from") for f in fields]
