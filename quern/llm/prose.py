@@ -1,17 +1,28 @@
 """Problem 3: per-document statistics that tell prose from lists, tables and junk.
 
-A line's words alone do not tell a table of noun phrases from prose, so the shape
-of a document counts too: lines whose delimiters stand in the same columns or in
-the same number as their neighbours' are rows of a table; lines whose markers or
-indents recur periodically are items of a list; the autocorrelation of line
-lengths tells both from the ragged lines of prose. On top of that come the
-ratios of words, common words, symbols and punctuation.
+Every line is judged by a score that sums up what speaks for sentences and what
+speaks against them:
+
+* for: words, common words where the language is known, a mark that closes a
+  sentence, sentences that end within the line. None of them is needed, so
+  sentences count in any language, in one case and without a full stop;
+* against, from the shape of the lines around it: delimiters or gaps in the same
+  columns or the same number as in the neighbouring line (a table), periodicity of
+  beginnings, indents and endings one, two or three lines apart, and
+  autocorrelation of line lengths (a list). The last two weigh on short lines only:
+  paragraphs that begin and end alike are still paragraphs;
+* against, from the line itself: many cells for its words, symbols and digits in
+  place of letters, marks of program code, words without vowels or without white
+  space between them, and a stored ``m_punct`` or ``m_alpha_cjk`` that bears it out.
+
+All measurements are taken over the code points of many texts at once.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,192 +30,235 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.dist import spread
+from quern.llm.batches import chunks, code_points, prefix_hashes, span_hashes
 
 #: common_words is a fixed lexicon; a larger one than this is an error.
 MAX_COMMON = 100_000
-#: Periodicity or autocorrelation from which on a document is laid out in rows or items.
-REGULAR = 0.6
-
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_HAN = re.compile(r"[㐀-鿿豈-﫿]")
-_GAP = re.compile(r"(?<=\S)(?: {2,}|\t+)(?=\S)")
-_MARKER = re.compile(r"\s*(?:[-*•·+>#]+\s|\(?\d{1,4}[.):]\s|\(?[a-zA-Z][.)]\s|\[\d+\])")
-_NUMBER_FIRST = re.compile(r"\s*[\d$€¥£(%+\-.,:/]*\d")
-_END = re.compile(r"""[.!?…。！？;:]["'”’»)\]]*\s*$""")
-_INNER_END = re.compile(r"[.!?]\s+[^\W\d_]|[。！？]\s*[^\W\d_]")
-_VOWELS = frozenset("aeiouyáàâãäåéèêëíìîïóòôõöøúùûüæœ")
-_MARKS = re.compile(r"(?:[^\w\s]|_)+")
-_DIGITS = re.compile(r"\d+")
-_DELIMITERS = "|;\t,:="
-_HAN_CLAUSE = frozenset("了着是也都就认但所因，？！")
-_CELL = re.compile(r" {2,}|\t+|\s[>|•·/–—-]\s|[|;]")
-_CODE = re.compile(r"[{}<>]|=>|==|\w\(|\);|</|&\w+;|::|\\[nt]")
+
+#: What each signal adds to a line's score; a line with more than 0 in all holds sentences.
+WEIGHTS = {
+    "start": -1.2, "words": 2.0, "common": 1.5, "ends": 1.0, "inner": 0.8,
+    "alignment": -3.6, "periodicity": -1.9, "autocorrelation": -1.7, "cells": -2.6, "code": -3.0, "garbled": -4.0, "unclosed": -1.3, "stored": -0.6,
+}
 
 MEASURES = (
     "n_words", "mean_word_length", "common_word_share", "symbol_ratio", "digit_ratio", "lines", "lines_ending_in_punct",
     "table_lines", "list_lines", "indent_periodicity", "length_autocorrelation", "sentence_share",
 )
 
-
-def autocorrelation(values: np.ndarray, lag: int = 1) -> float:
-    """Of a series with itself ``lag`` further; 1 for equal values, 0 for fewer than 4."""
-    if len(values) < lag + 3:
-        return 0.0
-    a, b = values[:-lag].astype(float), values[lag:].astype(float)
-    spread = a.std() * b.std()
-    if spread == 0:
-        return 1.0 if np.array_equal(a, b) else 0.0
-    return float(((a - a.mean()) * (b - b.mean())).mean() / spread)
-
-
-def periodicity(marks: list[int]) -> float:
-    """The largest share of lines whose mark equals that of the line 1, 2 or 3 before."""
-    n = len(marks)
-    if n < 4:
-        return 0.0
-    m = np.array(marks)
-    return max(float(np.mean((m[lag:] == m[:-lag]) & (m[lag:] > 0))) for lag in (1, 2, 3))
-
-
-class Line:
-    """What one line looks like, before its neighbours are known."""
-
-    __slots__ = ("size", "words", "common", "letters", "han", "counts", "gaps", "marker", "number_first", "text", "ends", "indent")
-
-    def __init__(self, text: str, common: frozenset[str]):
-        self.text = text
-        self.size = sum(map(len, text.split()))
-        ws = _WORD.findall(text.casefold())
-        self.words = ws
-        self.common = sum(map(common.__contains__, ws))
-        self.letters = sum(map(len, ws))
-        self.han = len(_HAN.findall(text)) if not text.isascii() else 0
-        self.counts = tuple(map(text.count, _DELIMITERS))
-        body = text.strip()
-        self.gaps = tuple(m.end() for m in _GAP.finditer(body)) if "  " in body or "\t" in body else ()
-        self.marker = bool(_MARKER.match(text))
-        self.number_first = bool(_NUMBER_FIRST.match(text))
-        self.ends = bool(_END.search(text))
-        self.indent = len(text) - len(text.lstrip())
-
-
-def _aligned(a: Line, b: Line) -> bool:
-    """Whether two neighbouring lines look like rows of one table."""
-    if len(a.gaps) >= 2 and len(b.gaps) >= 2 and len(set(a.gaps) & set(b.gaps)) * 2 >= min(len(a.gaps), len(b.gaps)):
-        return True
-    for i, c in enumerate(_DELIMITERS):
-        x, y = a.counts[i], b.counts[i]
-        # commas and colons are punctuation too: they align only between short cells
-        if x and y and (c in "|;\t=" or max(len(a.words), len(b.words)) <= 6) and (x == y or (min(x, y) >= 2 and c in "|;\t")):
-            return True
-    return False
-
-
-def _prose_words(line: Line) -> bool:
-    """Whether the words read like those of a sentence in some language."""
-    n = len(line.words)
-    if line.han >= 6:
-        # words that join or close a clause; an attribute with its noun has none of them
-        return line.han * 3 >= line.size and line.han >= 8 and any(c in _HAN_CLAUSE for c in line.text)
-    if len(line.text.split()) * 15 < line.size:
-        return False  # encoded matter has no white space to speak of
-    if n < 5 or line.letters < 0.6 * line.size:
-        return False
-    if line.common >= 2 and line.common >= 0.12 * n:
-        return True
-    # a language whose common words are not listed: ends like a sentence, pronounceable words
-    body = "".join(line.words)
-    vowels = sum(c in _VOWELS for c in body)
-    latin = body.isascii() or vowels > 0
-    # without a known word only a closing mark tells a sentence from a row of key words
-    return n >= 6 and line.ends and line.text.count(",") * 4 <= n and 2.5 <= line.letters / n <= 11 and (not latin or 0.28 <= vowels / max(1, len(body)) <= 0.6) and len(set(line.words)) * 3 >= n * 2 and line.common >= 1
-
-
-def phrase_runs(lines: list[Line], least: int = 3) -> list[bool]:
-    """True for lines in runs of ``least`` or more short phrases of one shape, an item each."""
-
-    def shape(x: Line) -> tuple | None:
-        short = x.han <= 13 if x.han >= 4 else len(x.words) <= 9
-        if not short or _INNER_END.search(x.text):
-            return None
-        body = x.text.strip()
-        return (body[:1].isalpha(), body[:1] if not body[:1].isalnum() else "", body[-1:] if not body[-1:].isalnum() else "")
-
-    shapes = [shape(x) for x in lines]
-    out, i = [False] * len(lines), 0
-    while i < len(lines):
-        j = i
-        while j < len(lines) and shapes[j] is not None and shapes[j] == shapes[i]:
-            j += 1
-        if j - i >= least:
-            out[i:j] = [True] * (j - i)
-        i = max(j, i + 1)
-    return out
-
-
-def shape_of(lines: list[Line]) -> tuple[float, float]:
-    """(periodicity of markers and indents, autocorrelation of line lengths)."""
-    marks = [2 if x.marker else 3 if x.number_first else 4 + x.indent if x.indent else 0 for x in lines]
-    return periodicity(marks), autocorrelation(np.array([x.size for x in lines]))
-
-
-def sentence_lines(lines: list[Line], common: frozenset[str], regular: bool = False) -> tuple[list[bool], list[bool], list[bool]]:
-    """For each line: holds sentences; is a row of a table; is an item of a list.
-
-    In a document of ``regular`` shape two neighbouring phrases make a list
-    already; in others it takes three.
-    """
-    n = len(lines)
-    table, listed, prose = [False] * n, [False] * n, [False] * n
-    for i in range(n - 1):
-        if _aligned(lines[i], lines[i + 1]):
-            table[i] = table[i + 1] = True
-    phrases = phrase_runs(lines, 2 if regular else 3)
-    for i, x in enumerate(lines):
-        near = [lines[j] for j in (i - 1, i + 1) if 0 <= j < n]
-        listed[i] = (x.marker and any(y.marker for y in near)) or (x.number_first and len(x.words) <= 6 and any(y.number_first and len(y.words) <= 6 for y in near))
-        listed[i] = listed[i] or phrases[i]
-        if phrases[i] or not _prose_words(x) or len(_CODE.findall(x.text)) * 4 >= max(2, len(x.words)):
-            continue
-        cells = [c for c in _CELL.split(x.text) if c and not c.isspace()]
-        if any((w := _WORD.findall(c.casefold())) and w[-1] in common for c in cells[:-1]):
-            cells = []  # gaps behind articles and prepositions are stray white space
-        if len(cells) >= 3 and (len(x.words) <= 5 * len(cells) if x.han < 6 else x.han <= 8 * len(cells)):
-            continue  # a row of short cells
-        structured = table[i] or listed[i]
-        # a row or an item holds a sentence if it is long, or closes like one
-        if structured and not (x.han >= 14 or len(x.words) >= 8 or (x.ends and len(x.words) >= 5)):
-            continue
-        if sum(x.counts[j] for j in (0, 2)) >= 2 or (x.counts[1] >= 2 and not x.ends):
-            continue
-        prose[i] = True
-    return prose, table, listed
-
-
-def describe(text: str | None, common: frozenset[str]) -> tuple:
-    """All measurements of one text, in the order of MEASURES; zeros if there is none."""
-    if not text or text.isspace():
-        return (0, 0.0, 0.0, 0.0, 0.0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
-    lines = [Line(x, common) for x in text.replace("\r\n", "\n").replace("\r", "\n").split("\n") if x and not x.isspace()]
-    size = sum(x.size for x in lines)
-    words = sum(len(x.words) for x in lines)
-    period, correlation = shape_of(lines)
-    prose, table, listed = sentence_lines(lines, common, period >= REGULAR or correlation >= REGULAR)
-    n = len(lines)
-    return (
-        words,
-        sum(x.letters for x in lines) / max(1, words),
-        sum(x.common for x in lines) / max(1, words),
-        sum(map(len, _MARKS.findall(text))) / max(1, size),
-        sum(map(len, _DIGITS.findall(text))) / max(1, size),
-        n,
-        sum(x.ends for x in lines) / max(1, n),
-        sum(table) / max(1, n),
-        sum(listed) / max(1, n),
-        period,
-        correlation,
-        sum(x.size for x, p in zip(lines, prose) if p) / max(1, size),
-    )
+_SPACE, _LETTER, _DENSE, _DIGIT, _LATIN, _VOWEL, _END, _CODE, _UPPER = (1 << i for i in range(9))
+#: Delimiters of cells; the first four stand in tables only, commas and colons in sentences too.
+_DELIMITERS = "|;\t=,:"
+
+
+@lru_cache(1)
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point its classes as bits, and its lower-case letter."""
+    flags = np.zeros(0x110000, np.uint16)
+    lower = np.arange(0x110000, dtype=np.uint32)
+    for c in range(0x110000):
+        x = chr(c)
+        if x.isspace():
+            flags[c] |= _SPACE
+        elif x.isalpha():
+            flags[c] |= _LETTER
+            # scripts that are written without white space between words
+            if 0x3040 <= c <= 0x30FF or 0x3400 <= c <= 0x9FFF or 0xF900 <= c <= 0xFAFF or c >= 0x20000 or 0x0E00 <= c <= 0x0EFF:
+                flags[c] |= _DENSE
+            low = x.lower()
+            lower[c] = ord(low[0])
+            if low != x:
+                flags[c] |= _UPPER
+            base = unicodedata.normalize("NFD", low)[0] if c < 0x250 or 0x1E00 <= c < 0x1F00 else ""
+            if "a" <= base <= "z" or base and base in "æœøß":
+                flags[c] |= _LATIN | (_VOWEL if base in "aeiouyæœø" else 0)
+        elif x.isdigit():
+            flags[c] |= _DIGIT
+    for x in ".!?…。！？":
+        flags[ord(x)] |= _END
+    for x in "{}<>=;()[]_&$#\\":
+        flags[ord(x)] |= _CODE
+    return flags, lower
+
+
+_QUOTES = np.array([ord(c) for c in "\"'”’»)]】」』"], np.uint32)
+
+
+def _sums(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[b] - total[a]
+
+
+def _around(hit: np.ndarray, weight: np.ndarray, reach: int, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Weighted mean of ``hit`` over the ``reach`` places to both sides, within ``bounds``."""
+    at = np.arange(len(hit))
+    lo, hi = np.maximum(at - reach, bounds[0]), np.minimum(at + reach + 1, bounds[1])
+    part, whole = (np.concatenate([[0.0], np.cumsum(x)]) for x in (hit * weight, weight))
+    return (part[hi] - part[lo]) / np.maximum(whole[hi] - whole[lo], 1e-9)
+
+
+class Lines:
+    """The lines of many texts that are not blank, and the signals of each."""
+
+    def __init__(self, texts: list[str], common: np.ndarray):
+        flags_of, lower_of = _classes()
+        codes, starts = code_points([t + "\n" for t in texts])  # so that no word or gap goes on in the next text
+        flags = flags_of[codes]
+        space, letter, dense = flags & _SPACE > 0, flags & _LETTER > 0, flags & _DENSE > 0
+        cut = (codes == 10) | (codes == 13)
+        edge = np.zeros(len(codes) + 1, bool)
+        edge[starts] = True
+        edge[:-1] |= cut
+        edge[1:] |= cut
+        at = np.flatnonzero(edge)
+        a, b = at[:-1], at[1:]
+        ink = ~space
+        full = _sums(ink, a, b) > 0
+        a, b = a[full], b[full]
+        self.doc = np.searchsorted(starts, a, side="right") - 1
+        self.a, self.b, n = a, b, len(a)
+        self.size = _sums(ink, a, b)
+        place = np.flatnonzero(ink)
+        first, last = place[np.searchsorted(place, a)], place[np.searchsorted(place, b) - 1]
+        self.indent = first - a
+        # words: runs of letters; in scripts without white space one for each character and a half
+        plain = letter & ~dense
+        word_start = plain & ~np.concatenate([[False], plain[:-1]]) if len(codes) else plain
+        self.dense = _sums(dense, a, b)
+        self.plain_words = _sums(word_start, a, b)
+        self.words = self.plain_words + self.dense / 1.5
+        self.letters = _sums(letter, a, b)
+        self.digits = _sums(flags & _DIGIT > 0, a, b)
+        self.latin, self.vowels = _sums(flags & _LATIN > 0, a, b), _sums(flags & _VOWEL > 0, a, b)
+        self.symbols = self.size - self.letters - self.digits
+        self.tokens = _sums(ink & ~np.concatenate([[False], ink[:-1]]), a, b) if len(codes) else np.zeros(0, np.int64)
+        self.code = _sums(flags & _CODE > 0, a, b)
+        # common words by the hash of their lower-case letters; of dense scripts single characters
+        ws = np.flatnonzero(word_start)
+        we = np.flatnonzero(plain & ~np.concatenate([plain[1:], [False]])) + 1 if len(codes) else ws
+        known = np.zeros(len(codes), bool)
+        low = lower_of[codes]
+        prefix = prefix_hashes(low)
+        known[ws] = np.isin(span_hashes(prefix, ws, we), common)
+        one = np.flatnonzero(dense)
+        known_dense = np.zeros(len(codes), bool)
+        known_dense[one] = np.isin(span_hashes(prefix, one, one + 1), common)
+        self.common = _sums(known, a, b) + _sums(known_dense, a, b)
+        # the closing mark, behind quotes and brackets
+        tail = last.copy()
+        for _ in range(3):
+            quote = np.isin(codes[tail], _QUOTES) & (tail > first)
+            tail = np.where(quote, place[np.maximum(np.searchsorted(place, tail) - 1, 0)], tail)
+        self.ends = flags[tail] & _END > 0
+        stop = np.flatnonzero(flags & _END > 0)
+        two = np.minimum(stop + 1, max(len(codes) - 1, 0)), np.minimum(stop + 2, max(len(codes) - 1, 0))
+        inner = np.zeros(len(codes), bool)
+        # a number and its point open an item, they close no sentence
+        spoken = flags[np.maximum(stop - 1, 0)] & _DIGIT == 0
+        inner[stop] = (codes[stop] > 0x2000) & letter[two[0]] | (space[two[0]] & ~cut[two[0]] & letter[two[1]] & spoken) if len(stop) else False
+        self.inner = _sums(inner, a, b)
+        # gaps inside lines: tabs, or white space of two and more
+        gap_start = space & ~cut & np.concatenate([[False], ink[:-1]]) if len(codes) else space
+        wide = gap_start & (np.concatenate([space[1:], [False]]) | (codes == 9)) if len(codes) else space
+        run = np.flatnonzero(wide)
+        ahead = np.searchsorted(place, run)
+        run, ahead = run[ahead < len(place)], ahead[ahead < len(place)]
+        line = np.searchsorted(a, run, side="right") - 1
+        inside = (line >= 0) & (place[ahead] < b[line]) if n else np.zeros(len(run), bool)
+        run, ahead, line = run[inside], place[ahead[inside]], line[inside]
+        self.gaps = np.bincount(line, minlength=n)
+        # a gap of two before a letter may be stray; wider ones, tabs and gaps before marks part cells
+        strong = (ahead - run > 2) | (codes[run] == 9) | ~letter[ahead]
+        column = line * np.int64(1 << 32) + (ahead - a[line])
+        aligned = np.isin(column + (1 << 32), column)
+        below = np.bincount(line[aligned], minlength=n)
+        counts = np.stack([_sums(codes == ord(c), a, b) for c in _DELIMITERS])
+        spaced = np.zeros(len(codes), bool)
+        if len(codes) > 2:
+            spaced[1:-1] = space[:-2] & space[2:] & np.isin(codes[1:-1], np.array([ord(c) for c in "/>»«•·–—|-"], np.uint32))
+        self.cells = 1 + counts[0] + counts[1] * ~self.ends + counts[2] + _sums(spaced & (codes != 124), a, b) + np.bincount(line[strong & (codes[run] != 9)], minlength=n)
+        self.items = 1 + _sums(np.isin(codes, np.array([0x2C, 0xFF0C, 0x3001, 0x3B], np.uint32)), a, b)
+        self._shape(codes, flags, first, tail, counts, below)
+
+    def _shape(self, codes: np.ndarray, flags: np.ndarray, first: np.ndarray, tail: np.ndarray, counts: np.ndarray, below: np.ndarray) -> None:
+        """Alignment, periodicity and autocorrelation of each line with those around it in its text."""
+        n = len(self.a)
+        same_doc = {k: np.concatenate([np.zeros(k, bool), self.doc[k:] == self.doc[:-k]]) if n > k else np.zeros(n, bool) for k in (1, 2, 3)}
+        # a line and the one before it have the same delimiters, or gaps in the same columns
+        pair = np.zeros(n, bool)
+        if n > 1:
+            x, y = counts[:, 1:], counts[:, :-1]
+            short = np.maximum(self.words[1:], self.words[:-1]) <= 6
+            rows = ((x > 0) & ((x == y) | (np.minimum(x, y) > 1)))[:4].any(0) | (((x > 0) & (x == y))[4:].any(0) & short)
+            columns = (below[:-1] * 2 >= np.minimum(self.gaps[1:], self.gaps[:-1])) & (np.minimum(self.gaps[1:], self.gaps[:-1]) >= 2)
+            pair[1:] = (rows | columns) & same_doc[1][1:]
+        self.alignment = (pair | np.concatenate([pair[1:], [False]])).astype(float) if n else np.zeros(0)
+        # the kind of the first and last character, and the indent
+        def kind(at: np.ndarray) -> np.ndarray:
+            f = flags[at]
+            return np.where(f & _LETTER > 0, np.where(f & _DENSE > 0, 1, 2 + (f & _UPPER > 0)), np.where(f & _DIGIT > 0, 4, 8 + codes[at].astype(np.int64)))
+
+        first_line = np.searchsorted(self.doc, self.doc, side="left")
+        bounds = first_line, np.searchsorted(self.doc, self.doc, side="right")
+        shape = kind(first) * 4_000_000 + np.where(self.ends, 5, kind(tail)) * 2 + (self.indent > 0)
+        length = self.size.astype(float)
+        self.periodicity, self.autocorrelation = np.zeros(n), np.zeros(n)
+        for lag, ok in same_doc.items():
+            hit = np.zeros(n)
+            like = np.zeros(n)
+            hit[lag:] = (shape[lag:] == shape[:-lag]) & ok[lag:] if n > lag else 0
+            if n > lag:
+                like[lag:] = length[lag:] * length[:-lag] / ((length[lag:] ** 2 + length[:-lag] ** 2) / 2)
+            weight = ok.astype(float)
+            # a pair tells about both of its lines and those between; one pair is no period yet
+            few = np.minimum(1.0, _around(weight, np.ones(n), 2, bounds) * 5 / 2)
+            for name, x in (("periodicity", hit), ("autocorrelation", like)):
+                back = np.concatenate([x[lag:], np.zeros(lag)])[:n]
+                weight_back = np.concatenate([weight[lag:], np.zeros(lag)])[:n]
+                mean = np.maximum(_around(x, weight, 1, bounds), _around(back, weight_back, 1, bounds)) * few
+                np.maximum(getattr(self, name), np.where((weight + weight_back) > 0, mean, 0.0), out=getattr(self, name))
+
+    def scores(self, weights: dict[str, float], stored: np.ndarray) -> np.ndarray:
+        words = np.maximum(self.words, 1)
+        share = self.common / words
+        short = np.clip((12 - self.words) / 2.5, 0, 1) * (self.inner == 0)
+        table = np.clip((16 - self.words / np.maximum(self.cells, 1)) / 8, 0, 1)
+        cells = ((self.cells >= 3) & (self.words <= 5.5 * self.cells)) | ((self.items >= 4) & (self.words <= 2.4 * self.items)) | ((self.cells >= 3) & (self.dense > 0) & (self.words <= 6 * self.cells))
+        vowels = self.vowels / np.maximum(self.latin, 1)
+        packed = (self.tokens * 15 < self.size) & (self.dense * 2 < self.size)
+        garbled = np.maximum(np.clip((0.7 - self.letters / np.maximum(self.size, 1)) / 0.2, 0, 1), ((self.latin >= 10) & (self.latin * 2 > self.letters) & ((vowels < 0.25) | (vowels > 0.75))) | packed)
+        unclosed = (self.common == 0) & ~self.ends & (self.dense == 0)
+        # a row of a table is no item of a list as well
+        short = short * (self.alignment == 0)
+        signals = {
+            "start": 1.0, "words": np.minimum(1, self.words / 10), "common": np.minimum(1, share / 0.2), "ends": self.ends, "inner": self.inner > 0, "alignment": self.alignment * table, "periodicity": self.periodicity * short,
+            "autocorrelation": self.autocorrelation * short, "cells": cells, "code": self.code >= np.maximum(2, 0.25 * words), "garbled": garbled, "unclosed": unclosed, "stored": stored[self.doc],
+        }
+        return sum((weights[k] * v for k, v in signals.items()), np.zeros(len(self.a)))
+
+
+def lexicon(words: list[str]) -> np.ndarray:
+    """Hashes of the words' letters, lower-cased."""
+    codes, starts = code_points([w.lower() for w in words])
+    return np.unique(span_hashes(prefix_hashes(codes), starts[:-1], starts[1:]))
+
+
+def measure(texts: list[str], common: np.ndarray, stored: np.ndarray | None = None, weights: dict[str, float] | None = None) -> dict[str, np.ndarray]:
+    """All MEASURES for a list of texts; zeros where there is no text. ``stored`` is 1 where the stored ratios speak against prose."""
+    n = len(texts)
+    x = Lines(texts, common)
+
+    def total(values: np.ndarray) -> np.ndarray:
+        return np.bincount(x.doc, values, n)
+
+    score = x.scores(weights or WEIGHTS, np.zeros(n) if stored is None else stored)
+    size, lines, words = np.maximum(total(x.size), 1), np.bincount(x.doc, minlength=n), np.maximum(total(x.plain_words + x.dense), 1)
+    per_line = np.maximum(lines, 1)
+    return {
+        "n_words": total(x.plain_words + x.dense).astype(np.int64), "mean_word_length": total(x.letters) / words, "common_word_share": total(x.common) / words, "symbol_ratio": total(x.symbols) / size, "digit_ratio": total(x.digits) / size,
+        "lines": lines, "lines_ending_in_punct": total(x.ends) / per_line, "table_lines": total(x.alignment > 0) / per_line, "list_lines": total((x.periodicity >= 0.6) & (x.words <= 9)) / per_line,
+        "indent_periodicity": total(x.periodicity) / per_line, "length_autocorrelation": total(x.autocorrelation) / per_line, "sentence_share": total(x.size * (score > 0)) / size,
+    }
 
 
 def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
@@ -219,14 +273,19 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     if len(rows) > MAX_COMMON:
         raise ValueError(f"more than {MAX_COMMON} common words")
     common = frozenset(r["word"] for r in rows)
+    known = lexicon(sorted(common))
     kind = dict(documents.dtypes)["doc_id"]
     stored = ("m_non_ws", "m_alpha_cjk", "m_punct")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = pd.DataFrame([describe(t, common) for t in b["text"]], columns=MEASURES)
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out.assign(**{c: b[c].to_numpy() for c in stored})
+            texts = [t or "" for t in b["text"]]
+            # null, zero and stale values say nothing; the two ratios must agree
+            against = ((b["m_alpha_cjk"] < 0.5) & (b["m_alpha_cjk"] > 0) & (b["m_punct"] > 0.1)).to_numpy(float)
+            for i, j in chunks(texts, 1 << 19):
+                out = pd.DataFrame(measure(texts[i:j], known, against[i:j]), columns=MEASURES)
+                out.insert(0, "doc_id", b["doc_id"].to_numpy()[i:j])
+                yield out.assign(**{c: b[c].to_numpy()[i:j] for c in stored})
 
     types = {"n_words": "long", "lines": "long"}
     schema = ", ".join([f"doc_id {kind}", *[f"{m} {types.get(m, 'double')}" for m in MEASURES], *[f"{c} double" for c in stored]])
