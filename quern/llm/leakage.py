@@ -16,8 +16,10 @@ the search is for containment:
 * a candidate is verified on the whole document: exact shingle containment along
   one alignment, then the run itself, word by word.
 
-The items are the stated query set; they go to all documents in blocks of a fixed
-size, so what is broadcast has a bound. Documents are only scanned, never shuffled.
+The items are the stated query set; they go to all documents in blocks of at most
+BLOCK_BYTES (one item may be larger), so each broadcast has a bound. Documents are
+scanned once, never shuffled: the words of a batch are hashed once and meet one
+block after the other.
 """
 
 from __future__ import annotations
@@ -30,17 +32,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.dist import spread
-from quern.llm.batches import scramble
+from quern.llm.batches import chunks, scramble
 
 SHARE = 0.6
 ONE_EXCHANGED_IN = 10
 SHINGLE = 3
 PERMUTATIONS = 128
-ITEMS_PER_BLOCK = 2_000
+#: Bytes of sketches in one block of items.
+BLOCK_BYTES = 32 << 20
 
 _WORD = regex.compile(r"[㐀-鿿豈-﫿\U00020000-\U0003ffff]|(?:(?![㐀-鿿豈-﫿\U00020000-\U0003ffff])[^\W_])+")
 _MARK = regex.compile(r"\p{M}+")
@@ -75,126 +79,121 @@ def has_run(same: np.ndarray) -> bool:
     return False
 
 
+class Words(dict):
+    """64-bit hashes of words, kept as long as they are few; 0 is none of them."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) or 1
+        return code
+
+    def codes(self, text: str | None) -> np.ndarray:
+        own = words(text)
+        return np.fromiter(map(self.__getitem__, own), np.uint64, len(own))
+
+
+def shingles(coded: np.ndarray, size: int) -> np.ndarray:
+    """64-bit codes of all word shingles."""
+    n = len(coded) - size + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    for k in range(size if n > 0 else 0):
+        out = scramble(out + coded[k : k + n])
+    return out
+
+
+_SALTS = np.random.default_rng(11).integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
+_SLOTS = scramble(np.arange(PERMUTATIONS, dtype=np.uint64))
+
+
 class ItemIndex:
     """Sketches of a block of items; ``search`` runs on executors."""
 
-    def __init__(self, items: list[tuple[int, str | None]], seed: int = 11):
-        self.ids, self.words = [], []
-        for item_id, question in items:
-            w = words(question)
-            if w:
-                self.ids.append(item_id)
-                self.words.append(w)
-        self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({x for ws in self.words for x in ws}))}
-        self.coded = [np.array([self.vocabulary[x] for x in ws], np.int64) for ws in self.words]
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.ids = [i for i, _ in items]
+        self.coded = [c for _, c in items]
         # items too short for a whole shingle in every run have shorter shingles
         parts: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for i, ws in enumerate(self.words):
-            parts[min(SHINGLE, least_run(len(ws))), (len(ws) - 1).bit_length()].append(i)
-        rng = np.random.default_rng(seed)
-        salts = rng.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
+        for i, c in enumerate(self.coded):
+            parts[min(SHINGLE, least_run(len(c))), (len(c) - 1).bit_length()].append(i)
         self.parts = []
         for (size, _), members in sorted(parts.items()):
-            codes = np.unique(np.concatenate([self.shingles(self.coded[i], size) for i in members]))
-            table = scramble(codes[:, None] ^ salts[None, :])  # value of each known shingle under each permutation
-            rank = {int(c): r for r, c in enumerate(codes)}
-            lookup: dict[tuple[int, int], list[int]] = defaultdict(list)
-            places: list[dict[int, list[int]]] = []
-            for i in members:
-                own = self.shingles(self.coded[i], size)
-                rows = [rank[int(c)] for c in own]
-                for p, value in enumerate(table[rows].min(axis=0)):
-                    lookup[p, int(value)].append(len(places))
-                at: dict[int, list[int]] = defaultdict(list)
-                for q, r in enumerate(rows):
-                    at[r].append(q)
-                places.append(dict(at))
-            keys = np.array([v for _, v in lookup], np.uint64)
-            slots = np.array([p for p, _ in lookup], np.uint64)
-            mixed = scramble(keys ^ scramble(slots))
-            order = np.argsort(mixed)
-            owners = list(lookup.values())
+            own = [shingles(self.coded[i], size) for i in members]
+            sketches = np.array([scramble(x[:, None] ^ _SALTS).min(0) for x in own])
+            keys, owner = scramble(sketches ^ _SLOTS).ravel(), np.repeat(np.arange(len(members), dtype=np.int32), PERMUTATIONS)
+            order = np.argsort(keys, kind="stable")
+            unique, first = np.unique(keys[order], return_index=True)
             self.parts.append({
-                "size": size, "members": members, "codes": codes, "table": table, "places": places,
-                "window": max(len(self.words[i]) for i in members),
-                "mixed": mixed[order], "owners": [owners[o] for o in order],
-                "slots": scramble(np.arange(PERMUTATIONS, dtype=np.uint64)),
-                "least": [intact_shingles(len(self.words[i]), size) for i in members],
+                "size": size, "members": members, "codes": np.unique(np.concatenate(own)), "window": max(len(self.coded[i]) for i in members),
+                "keys": unique, "first": np.concatenate([first, [len(keys)]]), "owners": owner[order], "least": [intact_shingles(len(self.coded[i]), size) for i in members],
             })
 
     @staticmethod
-    def shingles(coded: np.ndarray, size: int) -> np.ndarray:
-        """64-bit codes of all word shingles; 0 stands for a word that no item has."""
-        n = len(coded) - size + 1
-        out = np.zeros(max(n, 0), np.uint64)
-        for k in range(size if n > 0 else 0):
-            out = scramble(out + coded[k : k + n].astype(np.uint64))
-        return out
-
-    def search(self, texts: list[str | None], marks: list) -> Iterator[tuple]:
-        """(mark, item id) for each text that contains the item."""
-        get = self.vocabulary.get
-        for mark, text in zip(marks, texts):
-            coded = np.array([get(w, 0) for w in words(text)], np.int64)
-            if not coded.any():
-                continue
-            for part in self.parts:
-                for item in self._candidates(part, coded):
-                    yield mark, self.ids[item]
-
-    def _candidates(self, part: dict, coded: np.ndarray) -> Iterator[int]:
-        size = part["size"]
-        own = self.shingles(coded, size)
-        if size > 1:
-            # a shingle with a word that no item has can't be known
-            unknown = np.concatenate([[0], np.cumsum(coded == 0)])
-            at = np.flatnonzero(unknown[size:] - unknown[: len(own)] == 0)
-        else:
-            at = np.flatnonzero(coded)
-        if not len(at):
-            return
-        rank = np.searchsorted(part["codes"], own[at])
-        rank[rank == len(part["codes"])] = 0
-        known = part["codes"][rank] == own[at]
-        at, rank = at[known], rank[known]
-        if not len(at):
-            return
+    def bytes_of(coded: np.ndarray) -> int:
+        """What an item takes in a block: its sketch with owners and places, its words and shingles."""
+        return PERMUTATIONS * 20 + 16 * len(coded)
+
+    def search(self, coded: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        """(text, item id) for each text, given by its words' codes, that contains the item."""
+        starts = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)
+        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint64)
+        text = np.repeat(np.arange(len(coded)), np.diff(starts))
+        grams: dict[int, np.ndarray] = {}
+        for part in self.parts:
+            size = part["size"]
+            if size not in grams:
+                grams[size] = shingles(flat, size)
+            own = grams[size]
+            rank = np.searchsorted(part["codes"], own)
+            rank[rank == len(part["codes"])] = 0
+            at = np.flatnonzero((part["codes"][rank] == own) & (text[: len(own)] == text[size - 1 : size - 1 + len(own)]))
+            if len(at):
+                yield from self._candidates(part, at, rank[at], text[at], starts, flat)
+
+    def _candidates(self, part: dict, at: np.ndarray, rank: np.ndarray, text: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> Iterator[tuple[int, int]]:
         # windows of twice the size, in steps of the size: a place lies in two of them
-        step = part["window"]
-        window = np.concatenate([at // step, at // step - 1])
-        both = np.concatenate([rank, rank])
-        order = np.argsort(window, kind="stable")
-        window, both = window[order], both[order]
-        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        sketch = np.minimum.reduceat(part["table"][both], first, axis=0)
-        keys = np.unique(scramble(sketch ^ part["slots"][None, :]))
-        found = np.searchsorted(part["mixed"], keys)
-        found[found == len(part["mixed"])] = 0
-        candidates = sorted({c for f in found[part["mixed"][found] == keys] for c in part["owners"][f]})
-        places = list(zip(at.tolist(), rank.tolist()))
-        for c in candidates:
-            if self._contains(part, c, coded, places):
-                yield part["members"][c]
-
-    def _contains(self, part: dict, c: int, coded: np.ndarray, places: list[tuple[int, int]]) -> bool:
-        shared: dict[int, int] = defaultdict(int)
-        where = part["places"][c]
-        for at, rank in places:
-            for q in where.get(rank, ()):
-                shared[at - q] += 1
+        window = (at - starts[text]) // part["window"] + 1 + (text << 32)
+        known, place = np.unique(rank, return_inverse=True)
+        key, both = np.concatenate([window, window - 1]), np.concatenate([place, place])
+        order = np.argsort(key, kind="stable")
+        key, both = key[order], both[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        values = scramble(part["codes"][known][:, None] ^ _SALTS)
+        pairs = set()
+        for i in range(0, len(first), 512):  # a strip of windows at a time bounds what is gathered
+            some = first[i : i + 512]
+            end = first[i + 512] if i + 512 < len(first) else len(key)
+            sketch = scramble(np.minimum.reduceat(values[both[some[0] : end]], some - some[0], axis=0) ^ _SLOTS)
+            slot = np.searchsorted(part["keys"], sketch)
+            slot[slot == len(part["keys"])] = 0
+            row, column = np.nonzero(part["keys"][slot] == sketch)
+            for t, k in {(int(key[f]) >> 32, int(k)) for f, k in zip(some[row].tolist(), slot[row, column].tolist())}:
+                pairs.update((t, int(c)) for c in part["owners"][part["first"][k] : part["first"][k + 1]])
+        bounds = np.searchsorted(text, np.arange(len(starts)))
+        for t, c in sorted(pairs):
+            a, b = bounds[t], bounds[t + 1]
+            if self._contains(part, c, flat[starts[t] : starts[t + 1]], at[a:b] - starts[t], rank[a:b]):
+                yield t, self.ids[part["members"][c]]
+
+    def _contains(self, part: dict, c: int, coded: np.ndarray, at: np.ndarray, rank: np.ndarray) -> bool:
         item = self.coded[part["members"][c]]
-        for shift, n in shared.items():
-            if n < part["least"][c]:
-                continue
+        own = np.searchsorted(part["codes"], shingles(item, part["size"]))
+        # all pairs of equal shingles, by the alignment they stand for
+        order = np.argsort(own, kind="stable")
+        lo, hi = np.searchsorted(own[order], rank, "left"), np.searchsorted(own[order], rank, "right")
+        times = hi - lo
+        q = order[np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        shift, n = np.unique(np.repeat(at, times) - q, return_counts=True)
+        for s in shift[n >= part["least"][c]].tolist():
             same = np.zeros(len(item), bool)
-            a, b = max(0, -shift), min(len(item), len(coded) - shift)
-            same[a:b] = coded[a + shift : b + shift] == item[a:b]
+            a, b = max(0, -s), min(len(item), len(coded) - s)
+            same[a:b] = coded[a + s : b + s] == item[a:b]
             if has_run(same):
                 return True
         return False
 
 
-def leaks(documents: DataFrame, items: DataFrame, block: int = ITEMS_PER_BLOCK) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id): each document with each item it contains.
 
     Null, empty or wordless questions and texts match nothing. Repeated rows of a
@@ -202,28 +201,41 @@ def leaks(documents: DataFrame, items: DataFrame, block: int = ITEMS_PER_BLOCK)
     table on either side gives no rows. Other columns are ignored.
     """
     spark = documents.sparkSession
-    corpus = spread(documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") > 0)))
     schema = f"doc_id {dict(documents.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}"
-    rows = items.select("item_id", "question").where(F.col("item_id").isNotNull())
-    out = spark.createDataFrame([], schema)
-    todo = []
-
-    def against(part: list[tuple[int, str | None]]) -> DataFrame:
-        index = spark.sparkContext.broadcast(ItemIndex(part))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                yield pd.DataFrame(list(index.value.search(b["text"].tolist(), b["doc_id"].tolist())), columns=["doc_id", "item_id"])
-
-        return corpus.mapInPandas(scan, schema)
-
-    for r in rows.toLocalIterator():
-        todo.append((r["item_id"], r["question"]))
-        if len(todo) == block:
-            out, todo = out.unionByName(against(todo)), []
-    if todo:
-        out = out.unionByName(against(todo))
-    return out.distinct()
+    code, todo, size, blocks = Words(), [], 0, []
+
+    def close() -> None:
+        nonlocal todo, size
+        if todo:
+            blocks.append(spark.sparkContext.broadcast(ItemIndex(todo)))
+        todo, size = [], 0
+
+    for r in items.select("item_id", "question").where(F.col("item_id").isNotNull()).toLocalIterator():
+        coded = code.codes(r["question"])
+        if len(coded):
+            more = ItemIndex.bytes_of(coded)
+            if size and size + more > block_bytes:
+                close()
+            todo.append((r["item_id"], coded))
+            size += more
+    close()
+    if not blocks:
+        return spark.createDataFrame([], schema)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = Words()
+        for b in batches:
+            ids, texts = b["doc_id"].tolist(), b["text"].tolist()
+            parts = [(i, [hashes.codes(t) for t in texts[i:j]]) for i, j in chunks(texts, 1 << 18)]
+            for block in blocks:
+                index = block.value
+                out = [(ids[i + t], item) for i, coded in parts for t, item in index.search(coded)]
+                if len(blocks) > 1:
+                    vars(block).pop("_value", None)  # one block in memory at a time; it is read again from the local file
+                yield pd.DataFrame(out, columns=["doc_id", "item_id"])
+
+    corpus = spread(documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") > 0)))
+    return corpus.mapInPandas(scan, schema).distinct()
 
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
