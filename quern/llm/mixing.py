@@ -99,17 +99,17 @@ def tree_budgets(leaves: list[dict], budget: float) -> dict[str, float]:
 class Mixture:
     """``selected``: (doc_id, source_key, n_tokens, copies); ``shares``: a row for each source.
 
-    ``total`` is the size to reach in tokens. None: the largest size at which every
+    ``total`` is the size to reach in tokens. "corpus": the size of all documents
+    whose source has a target; there, small sources run out of repeats and their
+    shortage goes to siblings and ancestors. "exact": the largest size at which every
     source that has documents reaches its share, so shares come out as asked for.
-    "corpus": the size of all documents whose source has a target; there, small
-    sources run out of repeats and their shortage goes to siblings and ancestors.
     Documents without text, source or target are not selected; they are no error.
     A source that is named twice in ``targets`` has the sum of its weights and the
     larger number of repeats; null, negative or NaN weights count as 0, null
     repeats as 1. A doc_id that repeats is selected as a document each time.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, total: int | str | None = None, seed: int = 7, tokenizer: str = TOKENIZER):
+    def __init__(self, documents: DataFrame, targets: DataFrame, total: int | str = "corpus", seed: int = 7, tokenizer: str = TOKENIZER):
         spark = documents.sparkSession
         docs = spread(documents.select("doc_id", source_key(F.col("source")).alias("source_key"), language_of(F.col("lang")).alias("language"), "text"))
         docs = docs.select("doc_id", "source_key", "language", token_counts(tokenizer)("text").alias("n_tokens"))
@@ -124,7 +124,7 @@ class Mixture:
         have = {r["source_key"]: r["tokens"] or 0 for r in rows}
         if total == "corpus":
             total = sum(r["tokens"] or 0 for r in rows if r["weight"] > 0)
-        elif total is None:
+        elif total == "exact":
             parts = tree_budgets([x | {"cap": float("inf") if x["cap"] > 0 else 0.0} for x in leaves], 1.0)
             total = min((x["cap"] / parts[x["path"][-1]] for x in leaves if parts.get(x["path"][-1])), default=0)
         budgets = tree_budgets(leaves, float(total))

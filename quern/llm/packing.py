@@ -133,3 +133,13 @@ def packing_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     used = packed.where("pack_id is not null")
     sums = used.agg(F.coalesce(F.max("pack_id") + 1, F.lit(0)).alias("packs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"))
     return sums.withColumn("unused", F.col("packs") * capacity - F.col("tokens")).withColumn("packs_at_least", F.ceil(F.col("tokens") / capacity))
+
+
+def packing_checks(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: pieces, tokens, the fewest containers possible, containers that are too full or whose pieces overlap, and whether at most 1 % more (and one) are used."""
+    used = packed.where("pack_id is not null")
+    behind = F.coalesce(F.lag(F.col("pack_offset") + F.col("n_tokens")).over(Window.partitionBy("pack_id").orderBy("pack_offset")), F.lit(0))
+    packs = used.withColumn("_gap", F.col("pack_offset") - behind).groupBy("pack_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens"), F.max(F.abs("_gap")).alias("_gap"))
+    sums = packs.agg(F.coalesce(F.sum("pieces"), F.lit(0)).alias("pieces"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("_packs"), F.count(F.when((F.col("tokens") > capacity) | (F.col("_gap") > 0), 1)).alias("bad_packs"))
+    least = F.ceil(F.col("tokens") / capacity)
+    return sums.select("pieces", "tokens", least.alias("packs_at_least"), "bad_packs", (F.col("_packs") <= least * 1.01 + 1).alias("close"))

@@ -12,7 +12,7 @@ from quern.llm import langid, personal, prose
 from quern.llm.components import connected_groups
 from quern.llm.leakage import leak_report, leaks
 from quern.llm.mixing import Mixture
-from quern.llm.packing import pack_items, packed_sequences, packing_report
+from quern.llm.packing import pack_items, packed_sequences, packing_checks, packing_report
 from quern.llm.repetition import ablations, fails, ledger
 from quern.llm.spans import passages, shared_share, sharing_documents
 from quern.llm.survivor import chosen_bundles, survivors
@@ -70,6 +70,11 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return packing_report(pack_items(table(spark, d, "token_samples")))
 
 
+def p5_checks(spark: SparkSession, d: str) -> DataFrame:
+    """One row that SQL can foretell: pieces, tokens, and whether the packing keeps what it must."""
+    return packing_checks(pack_items(table(spark, d, "token_samples")))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return langid.mislabelled(p6_languages(spark, d))
 
@@ -105,6 +110,7 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """As many tokens as the corpus has: shortages of small sources move through the tree."""
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).selected
 
 
@@ -112,12 +118,13 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).shares
 
 
-def p9_mixture_of_corpus(spark: SparkSession, d: str) -> DataFrame:
-    return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="corpus").selected
+def p9_mixture_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The largest mixture in which every source that has documents has its target share."""
+    return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="exact").selected
 
 
-def p9_shares_of_corpus(spark: SparkSession, d: str) -> DataFrame:
-    return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="corpus").shares
+def p9_shares_exact(spark: SparkSession, d: str) -> DataFrame:
+    return Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), total="exact").shares
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
