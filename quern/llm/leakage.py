@@ -25,6 +25,7 @@ block after the other.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
@@ -46,7 +47,7 @@ PERMUTATIONS = 128
 #: Bytes of sketches in one block of items.
 BLOCK_BYTES = 32 << 20
 
-_WORD = regex.compile(r"[㐀-鿿豈-﫿\U00020000-\U0003ffff]|(?:(?![㐀-鿿豈-﫿\U00020000-\U0003ffff])[^\W_])+")
+_WORD = re.compile("[㐀-鿿豈-﫿\U00020000-\U0003ffff]|[^\\W_㐀-鿿豈-﫿\U00020000-\U0003ffff]+")
 _MARK = regex.compile(r"\p{M}+")
 
 
@@ -123,15 +124,18 @@ class ItemIndex:
             keys, owner = scramble(sketches ^ _SLOTS).ravel(), np.repeat(np.arange(len(members), dtype=np.int32), PERMUTATIONS)
             order = np.argsort(keys, kind="stable")
             unique, first = np.unique(keys[order], return_index=True)
+            codes = np.unique(np.concatenate(own))
+            ranks = [np.searchsorted(codes, x).astype(np.int32) for x in own]
+            places = [np.argsort(r, kind="stable").astype(np.int32) for r in ranks]
             self.parts.append({
-                "size": size, "members": members, "codes": np.unique(np.concatenate(own)), "window": max(len(self.coded[i]) for i in members),
+                "size": size, "members": members, "codes": codes, "ranks": [r[o] for r, o in zip(ranks, places)], "places": places, "window": max(len(self.coded[i]) for i in members),
                 "keys": unique, "first": np.concatenate([first, [len(keys)]]), "owners": owner[order], "least": [intact_shingles(len(self.coded[i]), size) for i in members],
             })
 
     @staticmethod
     def bytes_of(coded: np.ndarray) -> int:
         """What an item takes in a block: its sketch with owners and places, its words and shingles."""
-        return PERMUTATIONS * 20 + 16 * len(coded)
+        return PERMUTATIONS * 20 + 24 * len(coded)
 
     def search(self, coded: list[np.ndarray]) -> Iterator[tuple[int, int]]:
         """(text, item id) for each text, given by its words' codes, that contains the item."""
@@ -177,12 +181,15 @@ class ItemIndex:
 
     def _contains(self, part: dict, c: int, coded: np.ndarray, at: np.ndarray, rank: np.ndarray) -> bool:
         item = self.coded[part["members"][c]]
-        own = np.searchsorted(part["codes"], shingles(item, part["size"]))
         # all pairs of equal shingles, by the alignment they stand for
-        order = np.argsort(own, kind="stable")
-        lo, hi = np.searchsorted(own[order], rank, "left"), np.searchsorted(own[order], rank, "right")
-        times = hi - lo
-        q = order[np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        own, places = part["ranks"][c], part["places"][c]
+        lo = np.searchsorted(own, rank, "left")
+        hit = own[np.minimum(lo, len(own) - 1)] == rank
+        if np.count_nonzero(hit) < part["least"][c]:
+            return False
+        at, rank, lo = at[hit], rank[hit], lo[hit]
+        times = np.searchsorted(own, rank, "right") - lo
+        q = places[np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())]
         shift, n = np.unique(np.repeat(at, times) - q, return_counts=True)
         for s in shift[n >= part["least"][c]].tolist():
             same = np.zeros(len(item), bool)
