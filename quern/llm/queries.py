@@ -13,7 +13,7 @@ from quern.llm.components import connected_groups
 from quern.llm.leakage import leak_report, leaks
 from quern.llm.mixing import Mixture
 from quern.llm.packing import pack_items, packed_sequences, packing_checks, packing_report
-from quern.llm.repetition import ablations, fails, ledger
+from quern.llm.repetition import ablations, fails, stored_ledger
 from quern.llm.spans import passages, shared_share, sharing_documents
 from quern.llm.survivor import chosen_bundles, survivors
 
@@ -21,15 +21,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return ledger(table(spark, d, "documents")).where(fails("found")).select("doc_id")
+    return stored_ledger(table(spark, d, "documents")).where(fails("found")).select("doc_id")
 
 
 def p1_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return ledger(table(spark, d, "documents"))
+    return stored_ledger(table(spark, d, "documents"))
 
 
 def p1_ablations(spark: SparkSession, d: str) -> DataFrame:
-    return ablations(ledger(table(spark, d, "documents")))
+    return ablations(stored_ledger(table(spark, d, "documents")))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

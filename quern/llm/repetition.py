@@ -17,10 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.dist import spread
+from quern.functions.dist import cut, hadoop, spread
 from quern.llm.batches import chunks, code_points, prefix_hashes, scramble, span_hashes, window_hashes
 
 STRETCH = 30
+#: Raised whenever a rule, its limit or its place among the bits changes: a stored ledger tells which rules its bits stand for.
+RULES_VERSION = 1
 
 #: (measurement, the least value that fails), in the order of the bits. The n-gram
 #: and line limits are those published for the MassiveText corpus (fixed values).
@@ -175,7 +177,7 @@ def measure(texts: list[str]) -> dict[str, np.ndarray]:
 
 
 def ledger(documents: DataFrame) -> DataFrame:
-    """(doc_id, *measurements, failed): one row per document row; bit i of ``failed`` is rule i.
+    """(doc_id, *measurements, failed, rules): one row per document row; bit i of ``failed`` is rule i of version ``rules``.
 
     Null and empty texts measure 0 everywhere and fail nothing. The stored
     ``m_dup_line`` is a rule of its own; null or NaN counts as 0. Repeated rows
@@ -195,7 +197,35 @@ def ledger(documents: DataFrame) -> DataFrame:
     stored = F.when(stored.isNull() | F.isnan(stored), 0.0).otherwise(stored)
     measured = spread(documents.select("doc_id", "text", stored.alias("stored"))).mapInPandas(scan, ", ".join([f"doc_id {kind}", *[f"{m} double" for m in (*own, "stored_dup_lines")]]))
     bits = sum((F.when(F.col(m) >= least - 1e-12, F.lit(1 << i)).otherwise(F.lit(0)) for i, (m, least) in enumerate(RULES)), F.lit(0))
-    return measured.withColumn("failed", bits.cast("long"))
+    return measured.withColumn("failed", bits.cast("long")).withColumn("rules", F.lit(RULES_VERSION))
+
+
+_stored: dict[tuple, DataFrame] = {}
+
+
+def stored_ledger(documents: DataFrame, path: str | None = None) -> DataFrame:
+    """The ledger of a table as written to ``path``, or to the shared folder; measured at most once for the same files.
+
+    Policies and ablations read it instead of the texts. A ledger at ``path``
+    whose bits stand for other rules is an error; one in the shared folder lives
+    as long as the session.
+    """
+    spark = documents.sparkSession
+    if path is not None:
+        fs, root = hadoop(spark, path)
+        if not fs.exists(root):
+            ledger(documents).write.parquet(path)
+        found = spark.read.parquet(path)
+        other = found.where(F.col("rules") != RULES_VERSION).limit(1).count()
+        if other:
+            raise ValueError(f"the ledger at {path} was made by other rules than version {RULES_VERSION}")
+        return found
+    files = tuple(sorted(documents.inputFiles()))
+    stamp = tuple(fs.getFileStatus(p).getModificationTime() for fs, p in (hadoop(spark, f) for f in files[:1000]))
+    key = (spark.sparkContext.applicationId, files, stamp)
+    if not files or key not in _stored:
+        _stored[key] = cut(ledger(documents))
+    return _stored[key]
 
 
 def policy_mask(policy: str) -> int:
@@ -208,17 +238,17 @@ def fails(policy: str):
 
 
 def ablations(rows: DataFrame) -> DataFrame:
-    """(policy, rule, n_failed, n_by_rule, n_only_rule): what each rule adds to each policy.
+    """(policy, rule, rules, n_failed, n_by_rule, n_only_rule): what each rule adds to each policy.
 
     ``n_failed``: documents the policy drops; ``n_by_rule``: those that fail this
     rule; ``n_only_rule``: those that would be kept without it.
     """
-    patterns = rows.groupBy("failed").agg(F.count(F.lit(1)).alias("_n"))
+    patterns = rows.groupBy("failed", "rules").agg(F.count(F.lit(1)).alias("_n"))
     cases = [(p, m, policy_mask(p), 1 << MEASURES.index(m)) for p, ms in POLICIES.items() for m in ms]
     settings = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(m).alias("rule"), F.lit(mask).cast("long").alias("_mask"), F.lit(bit).cast("long").alias("_bit")) for p, m, mask, bit in cases])
-    each = patterns.select("failed", "_n", F.explode(settings).alias("s")).select("failed", "_n", "s.*")
+    each = patterns.select("failed", "rules", "_n", F.explode(settings).alias("s")).select("failed", "rules", "_n", "s.*")
     hit = F.col("failed").bitwiseAND(F.col("_mask"))
-    return each.groupBy("policy", "rule").agg(
+    return each.groupBy("policy", "rule", "rules").agg(
         F.sum(F.when(hit != 0, F.col("_n")).otherwise(0)).alias("n_failed"),
         F.sum(F.when(F.col("failed").bitwiseAND(F.col("_bit")) != 0, F.col("_n")).otherwise(0)).alias("n_by_rule"),
         F.sum(F.when(hit == F.col("_bit"), F.col("_n")).otherwise(0)).alias("n_only_rule"),

@@ -75,3 +75,16 @@ def test_ledger_policies_and_ablations(spark):
 def test_empty(spark):
     led = ledger(spark.createDataFrame([], "doc_id long, text string, m_dup_line double"))
     assert led.count() == 0 and ablations(led).count() == 0
+
+
+def test_stored_ledger(spark, tmp_path):
+    from quern.llm import repetition
+
+    docs = spark.createDataFrame([(1, "ab " * 90, 0.5), (2, "one two", None)], "doc_id long, text string, m_dup_line double")
+    path = str(tmp_path / "ledger")
+    first = sorted(map(tuple, repetition.stored_ledger(docs, path).collect()))
+    assert first == sorted(map(tuple, repetition.stored_ledger(docs.limit(0), path).collect())) == sorted(map(tuple, repetition.ledger(docs).collect()))
+    assert {r.rules for r in repetition.stored_ledger(docs, path).collect()} == {repetition.RULES_VERSION}
+    repetition.ledger(docs).withColumn("rules", repetition.F.lit(0)).write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError):
+        repetition.stored_ledger(docs, path)
