@@ -28,14 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, shared, True)
         spark.conf.set("spark.checkpoint.dir", shared)
     path = f"{shared.rstrip('/')}/quern-{sc.applicationId}"
-    fs, root = _hadoop(spark, path)
+    fs, root = hadoop(spark, path)
     if not fs.exists(root):
         fs.mkdirs(root)
         fs.deleteOnExit(root)
     return path
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path in any file system that Spark knows."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
 
@@ -60,7 +61,7 @@ def discard(*tables: DataFrame | None) -> None:
     for t in tables:
         path = getattr(t, "_written", None)
         if path:
-            fs, root = _hadoop(t.sparkSession, path)
+            fs, root = hadoop(t.sparkSession, path)
             fs.delete(root, True)
 
 
