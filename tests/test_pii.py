@@ -37,3 +37,22 @@ def test_name_stage_sees_only_routed_rows(spark):
     got = {r.id: r for r in pii.redact(df, lang_col="lang", names=names).collect()}
     assert got[1].text == "<NAME> was here" and got[2].text == "plain words" and got[3].text == "Jean Dupont" and got[4].text is None
     assert pii.redact(df).columns == df.columns
+
+
+def test_names_by_listed_given_names(spark):
+    given = spark.createDataFrame([("en", "John"), ("__label__en", "Mary Ann"), ("zh", "建国"), (None, "x"), ("en", None)], "lang string, given_name string")
+    patterns = pii.name_patterns(given)
+    df = spark.createDataFrame([(1, "Call John R. van Dyke-Smith or Mary Ann O'Neil, not john or Johnny Doe.", "en"), (2, "电话：王建国。", "zh"), (3, "John Smith", "fr"), (4, None, "en"), (5, "plain", "en")], "id long, text string, lang string")
+    got = {r.id: r.text for r in pii.redact(df, lang_col="lang", names=patterns).collect()}
+    assert got == {1: "Call <NAME> or <NAME>, not john or Johnny Doe.", 2: "电话：<NAME>。", 3: "John Smith", 4: None, 5: "plain"}
+
+
+def test_a_failing_name_stage_costs_only_its_text(spark):
+    def names(texts, langs):
+        if any("bad" in t for t in texts):
+            raise ValueError
+        return [t.replace("Ann Lee", "<NAME>") for t in texts]
+
+    df = spark.createDataFrame([(1, "Ann Lee here"), (2, "Tom Roe bad"), (3, "Ann Lee there")], "id long, text string").coalesce(1)
+    got = {r.id: r.text for r in pii.redact(df, names=names).collect()}
+    assert got == {1: "<NAME> here", 2: "Tom Roe bad", 3: "<NAME> there"}
