@@ -19,6 +19,7 @@ from quern.sources.tables import token_stats
 Query = Callable[[SparkSession, str], DataFrame]
 #: A public SentencePiece model; its path is a parameter.
 SENTENCEPIECE = "/opt/tokenizers/piece_bpe_32k.model"
+BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -155,9 +156,11 @@ def language_identified(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def quality_classified(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of a classifier whose labels are the verdicts of the clean step."""
-    docs = clean.score_clean(_documents(spark, d)).select("doc_id", "text", F.when(F.col("kept"), "good").otherwise("bad").alias("label"))
-    return quality.QualityFilter("good", max_rows=5_000).fit(docs).score(docs).select("doc_id", "quality_score", "quality_pass")
+    """Scores of a classifier that learns the logged quality decisions (the last one of each document)."""
+    last = table(spark, d, "clean_scores").where("quality_keep is not null").groupBy("doc_id").agg(F.max_by("quality_keep", F.struct("loaded_at", "quality_keep")).alias("keep"))
+    docs = _documents(spark, d)
+    labelled = docs.join(last, "doc_id").select("text", F.when(F.col("keep"), "good").otherwise("bad").alias("label"))
+    return quality.QualityFilter("good", max_rows=5_000).fit(labelled).score(docs).select("doc_id", "quality_score", "quality_pass")
 
 
 # --- personal data ------------------------------------------------------------------------
@@ -189,6 +192,19 @@ def pii_routing(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(docs, lang_col="lang", keep_routing=True).select("doc_id", "need_ner", "ner_lang")
 
 
+@query(
+    f"WITH a AS (SELECT doc_id, text, lang, {_SQL_FLAGS}, {_SQL_REDACTED} AS r FROM documents), "
+    r"b AS (SELECT doc_id, r, " + _SQL_NEED + r" AS need, CASE WHEN length(regexp_replace(lang, '^__label__', '')) >= 2 THEN lower(substring(regexp_replace(lang, '^__label__', ''), 1, 2)) WHEN regexp_matches(r, '[\x{4e00}-\x{9fff}]') THEN 'zh' ELSE 'en' END AS l FROM a), "
+    r"p AS (SELECT lower(substring(regexp_replace(lang, '^__label__', ''), 1, 2)) AS l, string_agg(DISTINCT given_name, '|' ORDER BY given_name) AS names FROM given_names GROUP BY 1) "
+    r"SELECT doc_id, CASE WHEN need AND b.l = 'zh' THEN regexp_replace(r, '[\x{4e00}-\x{9fff}](?:' || names || ')', '<NAME>', 'g') WHEN need AND b.l = 'en' THEN regexp_replace(r, '\b(?:' || names || "
+    r"""') (?:[A-Z]\. ?)*(?:(?:de|da|di|del|van|von|der) )*(?:[A-Z][''’])?[A-Z][A-Za-zÀ-ÖØ-öø-ÿ]+(?:[''’-][A-Z]?[A-Za-zÀ-ÖØ-öø-ÿ]+)*', '<NAME>', 'g') ELSE r END AS text FROM b LEFT JOIN p ON b.l = p.l"""
+)
+def pii_names_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Structured kinds, then person names by listed given names, on the rows routed to that stage."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return pii.redact(docs, lang_col="lang", names=pii.name_patterns(table(spark, d, "given_names"))).select("doc_id", "text")
+
+
 # --- near-duplicates ----------------------------------------------------------------------
 
 _BANDS = """
@@ -293,7 +309,7 @@ def sentencepiece_token_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def token_length_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return tokenize.compare_lengths(_documents(spark, d), tokenize.sentencepiece_encoder(SENTENCEPIECE), tokenize.byte_encoder())
+    return tokenize.compare_lengths(_documents(spark, d), tokenize.sentencepiece_encoder(SENTENCEPIECE), tokenize.bpe_encoder(BPE_RANKS))
 
 
 @query()

@@ -52,6 +52,7 @@ class PipelineConfig:
     keep_stats: bool = False
     enable_ner: bool = False
     supported_langs: str = "en,zh"
+    given_names: str | None = None
     name_stage: Callable | None = field(default=None, repr=False)
     # clustering
     rows_per_band: int = 4
@@ -132,8 +133,10 @@ def run_quality(config: PipelineConfig, spark: SparkSession) -> dict:
 
 def run_pii(config: PipelineConfig, spark: SparkSession) -> dict:
     names = config.name_stage if config.enable_ner else None
+    if config.enable_ner and names is None and config.given_names:
+        names = pii.name_patterns(tables.read_parquet(spark, config.given_names))
     if config.enable_ner and names is None:
-        log.warning("no name stage given, person names pass through")
+        log.warning("neither a name stage nor --given-names, a Parquet table of given names: person names pass through")
     langs = tuple(config.supported_langs.split(","))
     return _run("pii", config, spark, lambda df: pii.redact(df, config.text_col, config.lang_col or None, config.keep_stats, names=names, name_langs=langs))
 
@@ -228,10 +231,39 @@ def run(config: PipelineConfig, spark: SparkSession, steps: str = "all", resume_
     return stats
 
 
+def compare_tokenizers(spark: SparkSession, input_dir: str, output_dir: str, spm_model: str | None = None, bpe: str | None = None, shards: int = 0, text_col: str = "text", keep_text: bool = False, compression: str = "zstd") -> dict:
+    """Tokenise a corpus with each tokenizer given, write contiguous shards in file order and ``metrics.json``."""
+    encoders = {"sentencepiece": spm_model and tokenize.sentencepiece_encoder(spm_model), "bpe": bpe and tokenize.bpe_encoder(bpe)}
+    if not any(encoders.values()):
+        raise ValueError("name a SentencePiece model, a file of BPE ranks, or both")
+    files, size = tables.directory_stats(input_dir)
+    metrics: dict = {"input_dir": input_dir, "num_input_files": files, "input_bytes": size, "compression": compression, "tokenizers": {}}
+    for name, encoder in encoders.items():
+        if not encoder:
+            continue
+        df = tables.in_file_order(tables.read_parquet(spark, input_dir), [text_col])
+        staging, target = f"{output_dir}/{name}_staging", f"{output_dir}/{name}"
+        df = df.withColumn("_text", F.col(text_col))
+        ran = tokenize.benchmark(df.select("_file", "_row", text_col), encoder, staging, text_col, True, compression)
+        began = time.time()
+        tokens = spark.read.parquet(staging)
+        tables.reshard(tokens if keep_text else tokens.drop(text_col), target, ["_file", "_row"], shards or max(1, files), compression)
+        tables.remove(spark, staging)
+        count, written = tables.directory_stats(target)
+        metrics["tokenizers"][name] = {"model": spm_model if name == "sentencepiece" else bpe, "rows": ran.rows, "tokens": ran.tokens, "time_sec": {"tokenize": ran.seconds, "write": time.time() - began}, "throughput_tok_per_sec": ran.tokens_per_second, "num_shards": count, "bytes_written": written}
+    if len(metrics["tokenizers"]) == 2:
+        a, b = (metrics["tokenizers"][x]["tokens"] for x in ("sentencepiece", "bpe"))
+        metrics["ratio"], metrics["saving"] = (a / b, 1 - a / b) if b else (0.0, 0.0)
+    return tables.update_json(os.path.join(output_dir, "metrics.json"), metrics)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser("quern")
     p.add_argument("--steps", default="all", help=f"comma-separated, of: {', '.join(STEPS)}")
     p.add_argument("--resume-from", default=None)
+    p.add_argument("--log-file", default=None, help="log to this file as well")
+    p.add_argument("--compare", default=None, metavar="DIR", help="instead of steps: tokenise with --spm-model and --bpe-ranks, shards and metrics.json go to DIR")
+    p.add_argument("--bpe-ranks", default=None, help="a file of byte-level BPE tokens and ranks")
     for f in fields(PipelineConfig):
         if f.name in ("language_model", "name_stage"):
             continue
@@ -244,11 +276,19 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     args = parser().parse_args(argv)
+    handlers: list[logging.Handler] = [logging.StreamHandler()]
+    if args.log_file:
+        os.makedirs(os.path.dirname(args.log_file) or ".", exist_ok=True)
+        handlers.append(logging.FileHandler(args.log_file, encoding="utf-8"))
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s", handlers=handlers, force=True)
     spark = spark or SparkSession.builder.appName("quern").getOrCreate()
     try:
-        run(PipelineConfig.from_args(args), spark, args.steps, args.resume_from)
+        config = PipelineConfig.from_args(args)
+        if args.compare:
+            compare_tokenizers(spark, config.source("tokenize"), args.compare, config.spm_model, args.bpe_ranks, config.num_shards, config.text_col, compression=config.compression)
+        else:
+            run(config, spark, args.steps, args.resume_from)
     except Exception as e:  # noqa: BLE001 - the exit code tells the caller
         log.error("%s", e)
         return 1

@@ -4,27 +4,42 @@ from __future__ import annotations
 
 import json
 import os
-import struct
+import re
 from collections.abc import Iterator
+from fnmatch import fnmatch
 from glob import glob
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.dist import hadoop
+
 UINT16_MAX = 65_535
 
 
+def _entries(path: str, pattern: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the matching files directly in a directory of any file system, in order."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return sorted((f, os.path.getsize(f)) for f in glob(os.path.join(path, pattern)))
+    fs, root = hadoop(spark, path)
+    if not fs.exists(root):
+        return []
+    found = ((str(s.getPath().toString()), s.getLen()) for s in fs.listStatus(root) if s.isFile())
+    return sorted((p, n) for p, n in found if fnmatch(p.rsplit("/", 1)[-1], pattern))
+
+
 def directory_stats(path: str, pattern: str = "*.parquet") -> tuple[int, int]:
     """(files, bytes) directly in a directory; (0, 0) if it is missing."""
-    files = glob(os.path.join(path, pattern)) if os.path.isdir(path) else []
-    return len(files), sum(os.path.getsize(f) for f in files)
+    files = _entries(path, pattern)
+    return len(files), sum(n for _, n in files)
 
 
 def read_parquet(spark: SparkSession, path: str, limit: int = 0, columns: list[str] | None = None) -> DataFrame:
     """A directory of Parquet files; a missing one is an error before any job runs."""
-    if "://" not in path and not os.path.exists(path):
+    fs, root = hadoop(spark, path)
+    if not fs.exists(root):
         raise FileNotFoundError(path)
     df = spark.read.parquet(path)
     if columns:
@@ -74,9 +89,15 @@ def write_chunks(chunks: DataFrame, path: str, seq_len: int, per_shard: int = 20
     out.repartitionByRange(int(min(shards, 10_000)), "_shard").sortWithinPartitions("chunk_id").drop("_shard").write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", per_shard).parquet(path)
 
 
-def reshard(df: DataFrame, path: str, order: str, shards: int) -> None:
+def reshard(df: DataFrame, path: str, order: str | list[str], shards: int, compression: str = "zstd") -> None:
     """Contiguous shards in order."""
-    df.repartitionByRange(max(1, shards), order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
+    keys = [order] if isinstance(order, str) else order
+    df.repartitionByRange(max(1, shards), *keys).sortWithinPartitions(*keys).write.mode("overwrite").option("compression", compression).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, root = hadoop(spark, path)
+    fs.delete(root, True)
 
 
 def token_stats(chunks: DataFrame) -> DataFrame:
@@ -85,56 +106,83 @@ def token_stats(chunks: DataFrame) -> DataFrame:
     return chunks.agg(F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("tokens"), F.coalesce(F.max(top), F.lit(-1)).alias("largest_id"))
 
 
-def write_binary(chunks: DataFrame, path: str, dtype: str = "uint16", force: bool = False, per_part: int = 4096, limit_parts: int = 0) -> dict:
-    """All tokens in chunk order as one flat little-endian file; its facts.
+def write_binary(chunks: DataFrame, path: str, dtype: str = "uint16", force: bool = False, per_part: int = 2048, limit_parts: int = 0, single: bool = True) -> dict:
+    """All tokens in chunk order as flat little-endian numbers; the facts of what was written.
 
-    Executors write part files side by side, the driver only joins them. An id
-    that does not fit 16 bits is an error unless ``force`` lets it wrap.
+    Executors write ordered parts side by side into a folder of any file system
+    that Spark knows, ``path`` + ``.parts``, one row of bytes in each; a part ends
+    with one line feed that is no token, as the facts say. With ``single`` the
+    parts are then joined to one file by the file system's own streams, without a
+    token passing through Python, and removed; else they stay, with ``manifest.json``
+    beside them. An id that does not fit 16 bits is an error unless ``force`` lets
+    it wrap.
     """
     if dtype not in ("uint16", "int32"):
         raise ValueError(dtype)
+    spark = chunks.sparkSession
     facts = token_stats(chunks).first()
     if dtype == "uint16" and facts["largest_id"] > UINT16_MAX and not force:
         raise ValueError(f"token id {facts['largest_id']} does not fit uint16")
-    parts_dir = path + "_parts"
-    os.makedirs(parts_dir, exist_ok=True)
-    for f in glob(os.path.join(parts_dir, "*")):
-        os.remove(f)
+    kind, wide = ("<u2", 2) if dtype == "uint16" else ("<i4", 4)
+    parts_dir = path + ".parts"
+
+    def pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+
+        def close(part: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([b"".join(held.pop(part))], pa.binary())], ["_part", "bytes"])
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part, group in b.groupby("_part", sort=True):
-                group = group.sort_values("chunk_id")
-                name = os.path.join(parts_dir, f"{part:012d}_{group['chunk_id'].iloc[0]:016d}.bin")
-                with open(name + ".tmp", "wb") as out:
-                    for ids in group["input_ids"]:
-                        out.write(np.asarray(ids).astype("<u2" if dtype == "uint16" else "<i4").tobytes())
-                os.replace(name + ".tmp", name)
-                yield pd.DataFrame({"rows": [len(group)], "size": [os.path.getsize(name)]})
-
-    staged = chunks.select("chunk_id", "input_ids", F.floor(F.col("chunk_id") / per_part).alias("_part")).repartition("_part").sortWithinPartitions("_part", "chunk_id")
-    wrote = staged.mapInPandas(emit, "rows long, size long").agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).first()
-    names = sorted(glob(os.path.join(parts_dir, "*.bin")))
-    with open(path, "wb") as out:
-        for name in names[:limit_parts] if limit_parts else names:
-            with open(name, "rb") as part:
-                while block := part.read(1 << 24):
-                    out.write(block)
-    for name in names:
-        os.remove(name)
-    os.rmdir(parts_dir)
-    size = os.path.getsize(path)
-    return {"rows": wrote["rows"] or 0, "tokens": size // struct.calcsize("H" if dtype == "uint16" else "i"), "bytes": size, "dtype": dtype}
+            for part, ids in zip(b.column("_part").to_pylist(), b.column("input_ids")):
+                if part not in held:
+                    for done in list(held):
+                        yield close(done)
+                    held[part] = []
+                held[part].append(ids.values.to_numpy(zero_copy_only=False).astype(kind).tobytes() if ids.is_valid else b"")
+        for done in list(held):
+            yield close(done)
+
+    staged = chunks.select("chunk_id", "input_ids", F.floor(F.col("chunk_id") / per_part).alias("_part"))
+    if limit_parts:
+        staged = staged.where(F.col("_part") < limit_parts)
+    staged = staged.repartitionByRange("_part").sortWithinPartitions("_part", "chunk_id")
+    rows = staged.select("_part", "input_ids").mapInArrow(pack_parts, "_part long, bytes binary")
+    # one row is one file; bytes pass through the text writer as they are
+    rows.sortWithinPartitions("_part").select(F.col("bytes").cast("string")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(parts_dir)
+    # by number of the task, then of the file within it
+    entries = sorted(_entries(parts_dir, "part-*"), key=lambda e: [int(x) for x in re.search(r"part-(\d+)-.*-c(\d+)", e[0]).groups()])
+    size = sum(max(0, n - 1) for _, n in entries)
+    out = {"rows": facts["chunks"], "tokens": size // wide, "bytes": size, "dtype": dtype}
+    if not single:
+        return update_json(parts_dir + "/manifest.json", out | {"parts": [{"file": p.rsplit("/", 1)[-1], "bytes": n - 1} for p, n in entries], "line_feed_after_each_part": True})
+    fs, target = hadoop(spark, path)
+    stream = fs.create(target, True)
+    copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    for p, n in entries:
+        source = fs.open(hadoop(spark, p)[1])
+        copy(source, stream, 0, n - 1)
+        source.close()
+    stream.close()
+    remove(spark, parts_dir)
+    return out
 
 
 def update_json(path: str, values: dict) -> dict:
-    """Merge into a JSON file, new keys last; the merged content."""
-    old = {}
-    if os.path.exists(path):
-        with open(path) as f:
-            old = json.load(f)
+    """Merge into a JSON file of any file system that Spark knows, new keys last; the merged content."""
+    spark = SparkSession.getActiveSession()
+    fs, target = hadoop(spark, path)
+    old = json.loads(_read(spark, path)) if fs.exists(target) else {}
     merged = old | values
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w") as f:
-        json.dump(merged, f, indent=2, ensure_ascii=False, default=str)
+    out = fs.create(target, True)
+    out.write(bytearray(json.dumps(merged, indent=2, ensure_ascii=False, default=str).encode()))
+    out.close()
     return merged
+
+
+def _read(spark: SparkSession, path: str) -> str:
+    fs, source = hadoop(spark, path)
+    stream = fs.open(source)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

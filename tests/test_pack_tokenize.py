@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -74,6 +75,11 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.write_binary(big, str(tmp_path / "x"))
     assert tables.write_binary(big, str(tmp_path / "x"), force=True)["tokens"] == 30
+    facts = tables.write_binary(chunks, "file://" + str(tmp_path / "p"), per_part=2, single=False)
+    assert len(facts["parts"]) == 15 and facts["tokens"] == 120 and json.load(open(tmp_path / "p.parts" / "manifest.json")) == facts
+    joined = b"".join(open(tmp_path / "p.parts" / x["file"], "rb").read()[:-1] for x in facts["parts"])
+    assert np.frombuffer(joined, "<u2").tolist() == [t for _, ids in rows for t in ids]
+    assert tables.write_binary(chunks, str(tmp_path / "few"), per_part=7, limit_parts=2)["tokens"] == 56
     tables.write_chunks(chunks, str(tmp_path / "c"), 4, per_shard=8)
     back = spark.read.parquet(str(tmp_path / "c"))
     assert sorted(map(tuple, back.select("chunk_id").collect())) == [(i,) for i in range(30)] and tables.directory_stats(str(tmp_path / "c"))[0] >= 4
@@ -95,7 +101,7 @@ def test_split_writer(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "k")).count() == 7 and spark.read.parquet(str(tmp_path / "d")).count() == 0
 
 
-def test_tokenizers(spark):
+def test_tokenizers(spark, tmp_path):
     df = spark.createDataFrame([(i, f"The mill number {i} is in the valley of the river {'x' * (i % 5)}\nand more") for i in range(200)] + [(900, None), (901, ""), (902, " \n ")], "doc_id long, text string")
     lines = tokenize.corpus_lines(df)
     assert lines.count() == 200 and not lines.where(F.col("line").contains("\n")).count()
@@ -111,6 +117,6 @@ def test_tokenizers(spark):
     assert tokenize.vocabulary(spark, model, 10).count() == 10
     c = tokenize.compare_lengths(df, tokenize.sentencepiece_encoder(model), tokenize.byte_encoder()).first()
     assert 0 < c.ratio < 1 and abs(c.saving + c.ratio - 1) < 1e-9
-    assert tokenize.benchmark(df, tokenize.byte_encoder()).rows == 203
+    assert tokenize.benchmark(df, tokenize.byte_encoder(), str(tmp_path / "bench")).rows == 203
     with pytest.raises(FileNotFoundError):
         tokenize.load_sentencepiece("/nowhere.model")

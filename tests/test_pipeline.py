@@ -128,3 +128,18 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("drops").groupBy().sum("n").first()[0] == 20
+
+
+def test_compare_tokenizers(spark, tmp_path):
+    bpe, spm = "/opt/tokenizers/byte_bpe_50k.tiktoken", "/opt/tokenizers/piece_bpe_32k.model"
+    if not (os.path.exists(bpe) and os.path.exists(spm)):
+        pytest.skip("no vocabulary files")
+    spark.createDataFrame([(i, LINE.format(i, i)) for i in range(40)] + [(99, None)], "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "in"))
+    assert pipeline.main(["--compare", str(tmp_path / "out"), "--input", str(tmp_path / "in"), "--spm-model", spm, "--bpe-ranks", bpe, "--num-shards", "2", "--log-file", str(tmp_path / "logs" / "x.log")], spark) == 0
+    m = json.load(open(tmp_path / "out" / "metrics.json"))
+    for name in ("sentencepiece", "bpe"):
+        t = m["tokenizers"][name]
+        got = spark.read.parquet(str(tmp_path / "out" / name))
+        assert t["rows"] == 41 == got.count() and t["num_shards"] == 2 and t["tokens"] == got.selectExpr("sum(num_tokens)").first()[0] > 0
+    assert m["ratio"] == m["tokenizers"]["sentencepiece"]["tokens"] / m["tokenizers"]["bpe"]["tokens"] and os.path.exists(tmp_path / "logs" / "x.log")
+    assert pipeline.main(["--compare", str(tmp_path / "none"), "--input", str(tmp_path / "in")], spark) == 1
