@@ -122,7 +122,7 @@ def forward_backward(scores: np.ndarray, steps: Steps, trans: np.ndarray, start:
         last = x / s
         alpha[a:b] = last
     beta = np.empty_like(e)
-    expected = np.zeros((width, width))
+    nexts = np.zeros_like(e) if pairs else None
     total = float(np.log(scale.astype(np.float64)).sum() + top.astype(np.float64).sum())
     ahead = np.zeros((0, width), e.dtype)
     for t in range(len(blocks) - 1, -1, -1):
@@ -133,11 +133,13 @@ def forward_backward(scores: np.ndarray, steps: Steps, trans: np.ndarray, start:
             z = (alpha[a + k : b] * final[k : b - a]).sum(1)
             total += float(np.log(z.astype(np.float64)).sum())
             beta[a + k : b] = final[k : b - a] / z[:, None]
-        if pairs and k:
-            expected += alpha[a : a + k].T.astype(np.float64) @ ahead
+        if pairs:
+            nexts[a : a + k] = ahead
         ahead = e[a:b] * beta[a:b] / scale[a:b]
     post = alpha * beta
     post /= post.sum(1, keepdims=True)
+    # expected moves in one product, in strips that keep the sums exact enough
+    expected = sum((alpha[i : i + 65536].T @ nexts[i : i + 65536] for i in range(0, n, 65536)), np.zeros((width, width))) if pairs else np.zeros((width, width))
     return post[steps.place], total, expected * np.exp(trans)
 
 
