@@ -99,8 +99,11 @@ class Clustering:
         self.result = keep(df, self.kept)
         total = self.members.agg(F.countDistinct("doc_id").alias("total_docs"), F.countDistinct("component").alias("kept"))
         rate = F.when(F.col("total_docs") > 0, F.col("removed") / F.col("total_docs")).otherwise(F.lit(0.0))
-        candidates = self.pairs.select(F.col("pairs").alias("total_candidate_pairs")).crossJoin(self.edges.agg(F.count(F.lit(1)).alias("links")))  # one row each
-        self.stats = total.withColumn("removed", F.col("total_docs") - F.col("kept")).withColumn("dedup_rate", rate).crossJoin(candidates)
+        # one row each, met on a constant
+        one = F.lit(1).alias("_one")
+        stats = total.withColumn("removed", F.col("total_docs") - F.col("kept")).withColumn("dedup_rate", rate).select("*", one)
+        links = self.edges.agg(F.count(F.lit(1)).alias("links")).select("links", one)
+        self.stats = stats.join(self.pairs.select(F.col("pairs").alias("total_candidate_pairs"), one), "_one").join(links, "_one").drop("_one")
         self.sample = self.edges.orderBy("u", "v").limit(50)
 
     def check(self, rows_kept: int) -> bool:
