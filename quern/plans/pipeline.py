@@ -16,6 +16,7 @@ from quern.operators import clean, dedup, minhash, pack, pii, quality, tokenize
 from quern.sources import tables, wet
 
 log = logging.getLogger("quern")
+_LOG_FORMAT = "%(asctime)s %(name)s %(levelname)s %(message)s"
 
 STEPS = ("ingest", "clean", "quality", "pii", "minhash", "clustering", "train_tokenizer", "tokenize", "export")
 #: Directories whose names do not follow ``<step>_parquet`` (fixed values).
@@ -277,11 +278,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    handlers: list[logging.Handler] = [logging.StreamHandler()]
+    logging.basicConfig(level=logging.INFO, format=_LOG_FORMAT)
     if args.log_file:
         os.makedirs(os.path.dirname(args.log_file) or ".", exist_ok=True)
-        handlers.append(logging.FileHandler(args.log_file, encoding="utf-8"))
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s", handlers=handlers, force=True)
+        to_file = logging.FileHandler(args.log_file, encoding="utf-8")
+        to_file.setFormatter(logging.Formatter(_LOG_FORMAT))
+        log.addHandler(to_file)
+        log.setLevel(logging.INFO)
     spark = spark or SparkSession.builder.appName("quern").getOrCreate()
     try:
         config = PipelineConfig.from_args(args)
