@@ -403,17 +403,24 @@ def passages(documents: DataFrame, span: int = SPAN, k: int = K, identity: float
     sides, reaches ``identity``. Texts meet only for linked documents; of rows that
     share a doc_id, the largest text stands for the document.
     """
-    found = chains(documents, span, k).where((F.col("end") - F.col("start") >= span) & (F.col("centre_end") - F.col("centre_start") >= span))
-    texts = documents.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).groupBy("doc_id").agg(F.max("text").alias("text"))
-    # only what has gaps to align takes its stretch of text along
-    stretch = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    both = found.join(texts, "doc_id").withColumn("text", F.when(F.size("anchors") > 1, stretch).otherwise(""))
-    both = salted_lookup(both, "centre", texts.select(F.col("doc_id").alias("centre"), F.col("text").alias("other")), "inner")
+    found = cut(chains(documents, span, k).where((F.col("end") - F.col("start") >= span) & (F.col("centre_end") - F.col("centre_start") >= span)))
+    place = ["doc_id", "centre", "start", "end", "centre_start", "centre_end"]
+    whole = found.where(F.size("anchors") == 1).select(*place, F.lit(1.0).alias("identity"))
+    # chains with gaps take the two stretches of text along, which are cut out in one pass over the texts
+    gaps = found.where(F.size("anchors") > 1)
+    texts = documents.where(F.col("doc_id").isNotNull() & (F.length("text") >= span)).groupBy(F.col("doc_id").alias("_doc")).agg(F.max("text").alias("text"))
+    own = F.struct(F.col("doc_id").alias("_doc"), F.col("start").alias("a"), F.col("end").alias("b"), F.lit(True).alias("own"))
+    other = F.struct(F.col("centre").alias("_doc"), F.col("centre_start").alias("a"), F.col("centre_end").alias("b"), F.lit(False).alias("own"))
+    sides = cut(gaps.select(*place, F.explode(F.array(own, other)).alias("s")).select(*place, "s.*"))
+    piece = F.substring("text", (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int"))
+    pieces = salted_lookup(sides, "_doc", texts, "inner").select(*place, "own", piece.alias("piece"))
+    pairs = pieces.groupBy(*place).agg(F.max(F.when(F.col("own"), F.col("piece"))).alias("text"), F.max(F.when(~F.col("own"), F.col("piece"))).alias("other"))
+    both = gaps.join(pairs, place)
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc_id, centre, anchors, start, text, other in zip(b["doc_id"].tolist(), b["centre"].tolist(), b["anchors"], b["start"].tolist(), b["text"], b["other"]):
+            for doc_id, centre, anchors, start, centre_start, text, other in zip(b["doc_id"].tolist(), b["centre"].tolist(), b["anchors"], b["start"].tolist(), b["centre_start"].tolist(), b["text"], b["other"]):
                 kept, first, end = 0, None, (0, 0)
 
                 def close() -> None:
@@ -425,7 +432,7 @@ def passages(documents: DataFrame, span: int = SPAN, k: int = K, identity: float
                     if first is None:
                         first = (x, y)
                     else:
-                        same, most = _same(text[end[0] - start : x - start], other[end[1] : y]), max(x - end[0], y - end[1])
+                        same, most = _same(text[end[0] - start : x - start], other[end[1] - centre_start : y - centre_start]), max(x - end[0], y - end[1])
                         if same < GAP_IDENTITY * most and most > 20:
                             close()
                             kept, first = 0, (x, y)
@@ -435,4 +442,4 @@ def passages(documents: DataFrame, span: int = SPAN, k: int = K, identity: float
                 close()
             yield pd.DataFrame(out, columns=["doc_id", "centre", "start", "end", "centre_start", "centre_end", "identity"])
 
-    return both.mapInPandas(align, "doc_id long, centre long, start long, end long, centre_start long, centre_end long, identity double")
+    return whole.unionByName(both.mapInPandas(align, "doc_id long, centre long, start long, end long, centre_start long, centre_end long, identity double"))
