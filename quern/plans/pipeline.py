@@ -12,6 +12,7 @@ from dataclasses import dataclass, field, fields
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.dist import cut, discard
 from quern.operators import clean, dedup, minhash, pack, pii, quality, tokenize
 from quern.sources import tables, wet
 
@@ -179,10 +180,16 @@ def run_tokenize(config: PipelineConfig, spark: SparkSession) -> dict:
         model = f.read()
     eos = tokenize.eos_of(tokenize.load_sentencepiece(model))
     df = tables.in_file_order(tables.read_parquet(spark, config.source("tokenize")), [config.text_col])
-    tokens = tokenize.tokenised(df, tokenize.sentencepiece_encoder(model), config.text_col)
+    # written once: ranging the samples by their place reads them twice
+    tokens = cut(tokenize.tokenised(df, tokenize.sentencepiece_encoder(model), config.text_col).select("_file", "_row", "input_ids"))
+    shards = None
+    if not config.limit:
+        total = tokens.agg(F.sum(F.size(pack.with_eos(F.col("input_ids"), eos, config.add_eos, config.ensure_eos)))).first()[0] or 0
+        shards = max(1, -(-(total // config.seq_len + (not config.drop_remainder)) // config.shard_chunks))
     chunks = pack.pack(tokens, ["_file", "_row"], seq_len=config.seq_len, eos_id=eos, add_eos=config.add_eos, ensure_eos=config.ensure_eos, drop_remainder=config.drop_remainder, limit=config.limit)
     drop = ([] if config.emit_seq_id else ["seq_id"]) + ([] if config.emit_seq_lens_offsets else ["seq_lens", "offsets"])
-    tables.write_chunks(chunks.drop(*drop), config.path("tokenize"), config.seq_len, config.shard_chunks, config.compression)
+    tables.write_chunks(chunks.drop(*drop), config.path("tokenize"), config.seq_len, config.shard_chunks, config.compression, shards)
+    discard(tokens)
     n = spark.read.parquet(config.path("tokenize")).count()
     meta = {"seq_len": config.seq_len, "chunks": n, "eos_id": eos, "dtype": "int32", "drop_remainder": config.drop_remainder, "status": "ok" if n else "empty"}
     tables.update_json(os.path.join(config.output_base, "packing_meta.json"), meta)

@@ -10,7 +10,7 @@ from fnmatch import fnmatch
 from glob import glob
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.dist import hadoop
@@ -81,12 +81,26 @@ def write_split(scored: DataFrame, kept_path: str, dropped_path: str, flag: str
     fs.delete(root, True)
 
 
-def write_chunks(chunks: DataFrame, path: str, seq_len: int, per_shard: int = 2048, compression: str = "zstd") -> None:
-    """Packed chunks in order, ``per_shard`` to a file; a chunk of another length is an error."""
+#: Partitions of an ordered write at most; more shards share one.
+MOST_PARTITIONS = 10_000
+
+
+def _in_shards(df: DataFrame, shard: str, shards: int) -> DataFrame:
+    """Rows by the number of their shard, contiguous and in order, without a sample of the rows to find ranges."""
+    parts = max(1, min(shards, MOST_PARTITIONS))
+    return df.repartitionById(parts, F.floor(F.col(shard) * parts / max(1, shards)).cast("int")).sortWithinPartitions(shard, "chunk_id")
+
+
+def write_chunks(chunks: DataFrame, path: str, seq_len: int, per_shard: int = 2048, compression: str = "zstd", shards: int | None = None) -> None:
+    """Packed chunks in order, ``per_shard`` to a file; a chunk of another length is an error.
+
+    ``shards`` is their number if it is known; else a job of its own finds the last chunk.
+    """
     ids = F.when(F.size("input_ids") == seq_len, F.col("input_ids")).otherwise(F.raise_error(F.lit(f"a chunk is not {seq_len} tokens long")))
     out = chunks.withColumn("input_ids", ids).withColumn("_shard", F.floor(F.col("chunk_id") / per_shard))
-    shards = max(1, (out.agg(F.max("_shard")).first()[0] or 0) + 1)
-    out.repartitionByRange(int(min(shards, 10_000)), "_shard").sortWithinPartitions("chunk_id").drop("_shard").write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", per_shard).parquet(path)
+    if shards is None:
+        shards = (chunks.agg(F.max(F.floor(F.col("chunk_id") / per_shard))).first()[0] or 0) + 1
+    _in_shards(out, "_shard", shards).drop("_shard").write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", per_shard).parquet(path)
 
 
 def reshard(df: DataFrame, path: str, order: str | list[str], shards: int, compression: str = "zstd") -> None:
@@ -100,10 +114,10 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(root, True)
 
 
-def token_stats(chunks: DataFrame) -> DataFrame:
-    """One row: chunks, tokens, the largest id."""
+def token_stats(chunks: DataFrame, *more: Column) -> DataFrame:
+    """One row: chunks, tokens, the largest id, and what other aggregates give."""
     top = F.array_max("input_ids")
-    return chunks.agg(F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("tokens"), F.coalesce(F.max(top), F.lit(-1)).alias("largest_id"))
+    return chunks.agg(F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("tokens"), F.coalesce(F.max(top), F.lit(-1)).alias("largest_id"), *more)
 
 
 def write_binary(chunks: DataFrame, path: str, dtype: str = "uint16", force: bool = False, per_part: int = 2048, limit_parts: int = 0, single: bool = True) -> dict:
@@ -120,7 +134,7 @@ def write_binary(chunks: DataFrame, path: str, dtype: str = "uint16", force: boo
     if dtype not in ("uint16", "int32"):
         raise ValueError(dtype)
     spark = chunks.sparkSession
-    facts = token_stats(chunks).first()
+    facts = token_stats(chunks, F.max("chunk_id").alias("last_id")).first()
     if dtype == "uint16" and facts["largest_id"] > UINT16_MAX and not force:
         raise ValueError(f"token id {facts['largest_id']} does not fit uint16")
     kind, wide = ("<u2", 2) if dtype == "uint16" else ("<i4", 4)
@@ -145,7 +159,7 @@ def write_binary(chunks: DataFrame, path: str, dtype: str = "uint16", force: boo
     staged = chunks.select("chunk_id", "input_ids", F.floor(F.col("chunk_id") / per_part).alias("_part"))
     if limit_parts:
         staged = staged.where(F.col("_part") < limit_parts)
-    staged = staged.repartitionByRange("_part").sortWithinPartitions("_part", "chunk_id")
+    staged = _in_shards(staged, "_part", (facts["last_id"] or 0) // per_part + 1)
     rows = staged.select("_part", "input_ids").mapInArrow(pack_parts, "_part long, bytes binary")
     # one row is one file; bytes pass through the text writer as they are
     rows.sortWithinPartitions("_part").select(F.col("bytes").cast("string")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(parts_dir)

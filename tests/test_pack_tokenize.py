@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import numpy as np
@@ -82,6 +83,13 @@ def test_sinks(spark, tmp_path):
     assert tables.write_binary(chunks, str(tmp_path / "few"), per_part=7, limit_parts=2)["tokens"] == 56
     tables.write_chunks(chunks, str(tmp_path / "c"), 4, per_shard=8)
     back = spark.read.parquet(str(tmp_path / "c"))
+    files = sorted(f for f in os.listdir(tmp_path / "c") if f.endswith(".parquet"))
+    assert [[r.chunk_id for r in spark.read.parquet(str(tmp_path / "c" / f)).collect()] for f in files] == [list(range(i, min(i + 8, 30))) for i in range(0, 30, 8)]
+    tables.write_chunks(chunks, str(tmp_path / "c2"), 4, per_shard=8, shards=4)
+    assert spark.read.parquet(str(tmp_path / "c2")).count() == 30
+    # rows come in the order of the files, and a limit takes the first
+    placed = tables.in_file_order(spark.read.parquet(str(tmp_path / "c")), ["chunk_id"]).orderBy("_file", "_row")
+    assert [r.chunk_id for r in placed.collect()] == list(range(30)) and sorted(r.chunk_id for r in tables.read_parquet(spark, str(tmp_path / "c"), limit=11).collect()) == list(range(11))
     assert sorted(map(tuple, back.select("chunk_id").collect())) == [(i,) for i in range(30)] and tables.directory_stats(str(tmp_path / "c"))[0] >= 4
     with pytest.raises(Exception, match="tokens long"):
         tables.write_chunks(chunks, str(tmp_path / "d"), 5)
