@@ -27,7 +27,8 @@ def positions(df: DataFrame, size: Column, order: list[str]) -> DataFrame:
     A global prefix sum without a global window: rows are ranged by ``order``, of
     any type, into as many parts as a shuffle has; sums run within a part, and the
     totals of the parts (one row each) are summed up. The rows are written once
-    with their sums, so what made them runs once. Rows that tie in all of
+    with their sums; to find the ranges they are read once before, so rows that are
+    costly to make should come from a written table. Rows that tie in all of
     ``order`` may come in any order.
     """
     ranged = df.withColumn("_size", size.cast("long")).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
