@@ -22,7 +22,7 @@ import numpy as np
 #: Token types that a worker keeps between batches.
 MOST_TYPES = 200_000
 #: Tokens of a sequence that are worked on one after the other.
-BLOCK = 1024
+BLOCK = 512
 #: Tokens whose scores are summed at once, few enough to stay in a core's cache.
 _STRIP = 2048
 
